@@ -100,8 +100,7 @@ def embed_principals(
 ) -> DataFrame:
     """Attach the cast arrays, paged for titles with more than ``page_size`` principals."""
     rows = principals.filter(F.col("tconst").isNotNull())
-    order = ["ordering", "nconst", "category", "job", "characters"]
-    first, more = paged_lists(rows, "tconst", principal_struct(characters), order, "principals", page_size)
+    first, more = paged_lists(rows, "tconst", principal_struct(characters), "principals", page_size)
     base = titles.join(first.select("tconst", "principals"), "tconst", "left")
     out = base.withColumn("page", F.lit(0).cast("bigint"))
     if more is not None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,14 +12,18 @@ from marquee.operators.clean import clean_people, clean_ratings, clean_titles
 from marquee.operators.upsert import first_per_key
 
 
+# Ids are SMALLINT.
+MAX_DIMENSION = 32_767
+
+
 def _dimension(values: DataFrame, id_name: str, value_name: str) -> DataFrame:
     """Distinct values numbered in name order.
 
-    The number is a SMALLINT, so a dimension has at most 32,767 rows: one more makes the cast
-    raise. That bound is what lets the bridges broadcast a dimension.
+    Ids are SMALLINT, so a dimension holds at most 32,767 values. One value more is let through to
+    be numbered, where its cast raises; no task and no broadcast ever sees a longer list.
     """
     numbered = F.row_number().over(Window.orderBy(value_name)).cast("smallint")
-    return values.distinct().select(numbered.alias(id_name), value_name)
+    return values.distinct().limit(MAX_DIMENSION + 1).select(numbered.alias(id_name), value_name)
 
 
 def genres_dim(basics: DataFrame) -> DataFrame:
@@ -110,23 +116,34 @@ def akas(raw: DataFrame) -> DataFrame:
     )
 
 
-def build_star(staging: dict[str, DataFrame], keep_all_types: bool = False) -> dict[str, DataFrame]:
-    """All star-schema tables as lazy frames, in the order their references need."""
-    titles = clean_titles(staging["title_basics"], keep_all_types)
-    people = clean_people(staging["name_basics"])
-    genres = genres_dim(staging["title_basics"])
-    categories = categories_dim(staging["title_principals"])
-    star = {
-        "titles": titles,
-        "people": people,
-        "ratings": clean_ratings(staging["title_ratings"], titles),
-        "genres": genres,
-        "title_genres": title_genres(staging["title_basics"], genres, titles),
-        "categories": categories,
-        "title_principals": title_principals(staging["title_principals"], categories, titles, people),
-        "title_crew": title_crew(staging["title_crew"], titles, people),
-        "episodes": episodes(staging["title_episode"], titles),
-    }
-    if "title_akas" in staging:
-        star["akas"] = akas(staging["title_akas"])
+STAR_STEPS = {
+    "titles": lambda s, t, all_types: clean_titles(s["title_basics"], all_types),
+    "people": lambda s, t, _: clean_people(s["name_basics"]),
+    "ratings": lambda s, t, _: clean_ratings(s["title_ratings"], t["titles"]),
+    "genres": lambda s, t, _: genres_dim(s["title_basics"]),
+    "title_genres": lambda s, t, _: title_genres(s["title_basics"], t["genres"], t["titles"]),
+    "categories": lambda s, t, _: categories_dim(s["title_principals"]),
+    "title_principals": lambda s, t, _: title_principals(
+        s["title_principals"], t["categories"], t["titles"], t["people"]),
+    "title_crew": lambda s, t, _: title_crew(s["title_crew"], t["titles"], t["people"]),
+    "episodes": lambda s, t, _: episodes(s["title_episode"], t["titles"]),
+    "akas": lambda s, t, _: akas(s["title_akas"]),
+}
+
+
+def build_star(
+    staging: dict[str, DataFrame], keep_all_types: bool = False,
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """All star-schema tables, in the order their references need.
+
+    Without ``store`` the frames stay lazy. ``store`` (name, frame -> written table) keeps each table
+    as it is built, so that parents are cleaned once and not again for every child.
+    """
+    star: dict[str, DataFrame] = {}
+    for name, step in STAR_STEPS.items():
+        if name == "akas" and "title_akas" not in staging:
+            continue
+        built = step(staging, star, keep_all_types)
+        star[name] = store(name, built) if store else built
     return star

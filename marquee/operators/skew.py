@@ -33,7 +33,7 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 
 
 def paged_lists(
-    df: DataFrame, key: str, element: Column, order: list[str], name: str, page_size: int = PAGE_SIZE
+    df: DataFrame, key: str, element: Column, name: str, page_size: int = PAGE_SIZE
 ) -> tuple[DataFrame, DataFrame | None]:
     """Collect ``element`` (a struct) per ``key`` into sorted arrays of bounded length.
 

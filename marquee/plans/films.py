@@ -26,35 +26,35 @@ def film_card(
 ) -> DataFrame:
     """The first film whose title holds the phrase: rating, directors, cast and other titles.
 
-    The film is chosen first; every lookup after that is cut to its one key, so nothing else of the
-    catalogue is embedded. Cast and other titles come in pages of ``page_size``, usually one.
+    The film is chosen first and its key alone comes back; every lookup then filters by that key in
+    its scan, so nothing else of the catalogue is read, joined or embedded. Cast and other titles
+    come in pages of ``page_size``, usually one.
     """
     base = D.title_base(staging["title_basics"])
-    hit = F.broadcast(base.filter(X.phrase_match(F.col("primaryTitle"), phrase)).orderBy("tconst").limit(1)
-                      .select("tconst"))
+    found = base.filter(X.phrase_match(F.col("primaryTitle"), phrase)).orderBy("tconst").limit(1).select("tconst").collect()
+    keys = [r["tconst"] for r in found] or [""]
     people = D.people_docs(staging["name_basics"]).select("nconst", "primaryName")
 
-    film = base.join(hit, "tconst", "left_semi")
-    ratings = staging["title_ratings"].join(hit, "tconst", "left_semi")
-    crew = staging["title_crew"].join(hit, "tconst", "left_semi")
-    film = D.embed(D.embed(film, D.rating_part(ratings)), D.crew_part(crew))
+    def of_film(table: str, key: str = "tconst") -> DataFrame:
+        return staging[table].filter(F.col(key).isin(keys))
+
+    film = D.title_base(of_film("title_basics"))
+    film = D.embed(D.embed(film, D.rating_part(of_film("title_ratings"))), D.crew_part(of_film("title_crew")))
 
     directors = _names(film.select("tconst", F.col("crew.directors").alias("ids")), people, "directores", few=True)
 
     cast_rows = (
-        staging["title_principals"].join(hit, "tconst", "left_semi")
+        of_film("title_principals")
         .select("tconst", D.principal_struct(characters).alias("p"))
         .select("tconst", "p.*")
         .join(people, "nconst", "left")
     )
     entry = F.struct("ordering", "nconst", "category", F.col("primaryName").alias("nombre_actor"),
                      F.col("characters").alias("personajes"))
-    cast, more_cast = paged_lists(cast_rows, "tconst", entry, ["ordering"], "_cast", page_size)
-    aka_rows = D.aka_docs(
-        staging["title_akas"].join(hit.withColumnRenamed("tconst", "titleid"), "titleid", "left_semi")
-    ).withColumnRenamed("titleId", "tconst")
+    cast, more_cast = paged_lists(cast_rows, "tconst", entry, "_cast", page_size)
+    aka_rows = D.aka_docs(of_film("title_akas", "titleid")).withColumnRenamed("titleId", "tconst")
     other = F.struct("ordering", F.col("title").alias("titulo"), "region")
-    akas, more_akas = paged_lists(aka_rows, "tconst", other, ["ordering"], "_akas", page_size)
+    akas, more_akas = paged_lists(aka_rows, "tconst", other, "_akas", page_size)
 
     cast = cast if more_cast is None else cast.unionByName(more_cast)
     akas = akas if more_akas is None else akas.unionByName(more_akas)
@@ -111,7 +111,7 @@ def film_search(staging: dict[str, DataFrame], query: str, page_size: int = PAGE
         staging["title_principals"].join(keys, "tconst", "left_semi").select("tconst", "nconst")
         .distinct().join(people, "nconst")
     )
-    cast, more = paged_lists(cast_rows, "tconst", F.struct("primaryName", "nconst"), ["primaryName"], "_a", page_size)
+    cast, more = paged_lists(cast_rows, "tconst", F.struct("primaryName", "nconst"), "_a", page_size)
     cast = cast if more is None else cast.unionByName(more)
     out = titles.join(directors, "tconst", "left").join(cast, "tconst", "left")
     none = F.array().cast("array<string>")

@@ -28,32 +28,47 @@ def _next_seq(spark: SparkSession, root: str) -> int:
     return spark.read.schema(MANIFEST_DDL).parquet(f"{root}/manifests").agg(F.max("seq")).first()[0] + 1
 
 
+Tables = dict[str, DataFrame]
+Store = Callable[[str, DataFrame], DataFrame]
+
+
 def publish(
-    spark: SparkSession, root: str, tables: dict[str, DataFrame],
-    check: Callable[[dict[str, DataFrame]], DataFrame] | None = None,
+    spark: SparkSession, root: str, build: Tables | Callable[[Store], Tables],
+    check: Callable[[Tables], DataFrame] | None = None,
     write: Callable[[DataFrame, str, str], None] | None = None,
 ) -> dict[str, int]:
-    """Write ``tables`` under a new run, check what was written, then publish it.
+    """Write tables under a new run, check what was written, then publish the run.
 
-    ``check`` gets the written tables and returns violations; any row rejects the run. ``write``
-    (frame, table, path) may lay a table out its own way. Returns rows per table.
+    ``build`` is either the tables or a function building them with ``store`` (name, frame ->
+    written table), for tables that read earlier ones. ``check`` gets the written tables and returns
+    violations; any row rejects the run. ``write`` (frame, table, path) may lay a table out its own
+    way. Returns rows per table.
     """
     root = root.rstrip("/")
     seq, run = _next_seq(spark, root), uuid.uuid4().hex
-    written, rows = {}, {}
-    for name, df in tables.items():
-        path = f"{root}/runs/{run}/{name}"
+    written: Tables = {}
+    paths: dict[str, str] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = f"{root}/runs/{run}/{name}"
         if write:
-            write(df, name, path)
+            write(df, name, paths[name])
         else:
-            df.write.mode("errorifexists").parquet(path)
-        written[name] = spark.read.schema(df.schema).parquet(path)
-        rows[name] = written[name].count()
+            df.write.mode("errorifexists").parquet(paths[name])
+        written[name] = spark.read.schema(df.schema).parquet(paths[name])
+        return written[name]
+
+    if callable(build):
+        build(store)
+    else:
+        for name, df in build.items():
+            store(name, df)
     if check is not None:
         bad = check(written).limit(20).collect()
         if bad:
             raise RejectedRun(f"run {run} not published: {[tuple(r) for r in bad]}")
-    entries = [(seq, run, n, f"{root}/runs/{run}/{n}", rows[n]) for n in tables]
+    rows = {name: df.count() for name, df in written.items()}
+    entries = [(seq, run, n, paths[n], rows[n]) for n in written]
     # The folder name holds the sequence, so two runs racing for one number cannot both succeed.
     spark.createDataFrame(entries, MANIFEST_DDL).drop("seq").coalesce(1).write.mode("errorifexists").parquet(
         f"{root}/manifests/seq={seq}"

@@ -64,15 +64,16 @@ CTES = {
     "titles_raw": f"""select {_key('tt', 'o_orderkey')} as tconst,
       case o_orderpriority when '1-URGENT' then 'movie' when '2-HIGH' then 'tvSeries' when '3-MEDIUM' then 'tvEpisode'
         when '4-NOT SPECIFIED' then 'tvMovie' else 'videoGame' end as titletype,
-      concat('The ', coalesce(p_name, 'untitled')) as primarytitle, coalesce(p_name, 'untitled') as originaltitle,
+      concat('The ', monthname(o_orderdate), ' ', lower(substr(o_orderpriority, 3)), ' ', o_custkey) as primarytitle,
+      concat(monthname(o_orderdate), ' ', lower(substr(o_orderpriority, 3)), ' ', o_custkey) as originaltitle,
       case when o_totalprice < 10000 then '1' else '0' end as isadult,
       case when o_orderkey % 11 = 0 then null when o_orderkey % 13 = 0 then '19x4'
         else cast(year(o_orderdate) as varchar) end as startyear,
       cast(null as varchar) as endyear,
       case when o_orderkey % 17 = 0 then 'n/a' else cast(60 + o_orderkey % 120 as varchar) end as runtimeminutes,
       case when o_orderkey % 19 = 0 then null when o_orderkey % 23 = 0 then ''
-        when o_orderkey % 3 = 0 then concat_ws(',', p_type, p_brand) else p_type end as genres
-      from orders left join part on p_partkey = o_custkey""",
+        when o_orderkey % 3 = 0 then concat_ws(',', monthname(o_orderdate), dayname(o_orderdate))
+        else monthname(o_orderdate) end as genres from orders""",
     "names_raw": f"""select {_key('nm', 'c_custkey')} as nconst,
       case when c_acctbal < 0 then '  ' else concat(' Person ', cast(c_custkey // 2 as varchar)) end as primaryname,
       case when c_custkey % 7 = 0 then null else cast(1900 + c_custkey % 100 as varchar) end as birthyear,
@@ -178,6 +179,7 @@ DIFF = """select case when o.o_orderkey is null then 'insert' when n.o_orderkey
   where o.o_orderkey is null or n.o_orderkey is null or o.o_custkey is distinct from n.o_custkey
     or o.o_orderstatus is distinct from n.o_orderstatus or o.o_totalprice is distinct from n.o_totalprice"""
 
+NAME_TRIGRAMS = f"select tconst, primarytitle, {_trigrams('primarytitle')} as g from titles_raw"
 PART_TRIGRAMS = f"select p_partkey, p_name, {_trigrams('p_name')} as g from part"
 TSV_FIELD = "coalesce(replace({c}, ' ', '~'), null) as {c}"
 TITLE_FIELDS = ["tconst", "titletype", "primarytitle", "originaltitle", "isadult", "startyear", "endyear", "runtimeminutes", "genres"]
@@ -272,15 +274,15 @@ BODIES = {
         order by cast(a.ordering as integer), a.title, a.region nulls first)
         from akas_raw a where a.titleid = t.tconst), '') as otros_titulos
       from title_doc t left join ({NAMES_AGG}) dn on dn.tconst = t.tconst
-      where t.tconst = (select min(tconst) from titles_raw where contains({_norm('primarytitle')}, ' red widget '))""",
+      where t.tconst = (select min(tconst) from titles_raw where contains({_norm('primarytitle')}, ' october urgent '))""",
     "film_search": f"""select t.tconst, cast(0 as bigint) as page, t.primarytitle as title, t.startyear as year, t.average as rating,
       t.votes, coalesce(dn.names, '') as directors, coalesce(c.names, '') as actors, t.genres,
-      cast(len(list_intersect({_tokens('t.primarytitle')}, ['blue', 'gear'])) as bigint) as score
+      cast(len(list_intersect({_tokens('t.primarytitle')}, ['may', 'specified'])) as bigint) as score
       from title_doc t left join ({NAMES_AGG}) dn on dn.tconst = t.tconst
       left join (select p.tconst, string_agg(n.primaryname, ';' order by n.primaryname, p.nconst) as names
         from (select distinct tconst, nconst from principals_raw) p join names_raw n on n.nconst = p.nconst group by p.tconst) c
         on c.tconst = t.tconst
-      where len(list_intersect({_tokens('t.primarytitle')}, ['blue', 'gear'])) > 0""",
+      where len(list_intersect({_tokens('t.primarytitle')}, ['may', 'specified'])) > 0""",
     "director_works": """select t.primarytitle as titulo, t.startyear as ano, t.titletype as tipo
       from (select distinct tconst, nconst from directing) d join names_raw n on n.nconst = d.nconst
       join title_doc t on t.tconst = d.tconst where n.primaryname = ' Person 10'""",
@@ -297,24 +299,24 @@ BODIES = {
     "top_actors": TOP.format(cols=ACTOR_COLS, n=10, src="(select p.nconst from principals_raw p join titles_raw t on t.tconst = p.tconst where category in ('actor', 'actress'))"),
     "top_actors_films": TOP.format(cols=ACTOR_COLS, n=10, src="(select p.nconst from principals_raw p join titles_raw t on t.tconst = p.tconst where category = 'actor' and t.titletype = 'movie')"),
     "top_actors_staging": TOP.format(cols=ACTOR_COLS, n=10, src="(select p.nconst from principals_raw p join titles_raw t on t.tconst = p.tconst where category in ('actor', 'actress'))"),
-    "phrase_search": f"select tconst, primarytitle from titles_raw where contains({_norm('primarytitle')}, ' red widget ')",
+    "phrase_search": f"select tconst, primarytitle from titles_raw where contains({_norm('primarytitle')}, ' october urgent ')",
     "phrase_search_documents": f"select doc_id, lang from documents where contains({_norm('text')}, ' of the ')",
-    "token_search": f"""select tconst, primarytitle, cast(len(list_intersect({_tokens('primarytitle')}, ['blue', 'gear'])) as bigint) as score
-      from titles_raw where len(list_intersect({_tokens('primarytitle')}, ['blue', 'gear'])) > 0""",
+    "token_search": f"""select tconst, primarytitle, cast(len(list_intersect({_tokens('primarytitle')}, ['may', 'specified'])) as bigint) as score
+      from titles_raw where len(list_intersect({_tokens('primarytitle')}, ['may', 'specified'])) > 0""",
     "token_search_documents": f"""select * from (select doc_id,
       cast(len(list_intersect({_tokens('text')}, ['the', 'entre', 'ou'])) as bigint) as score from documents) where score > 0""",
-    "ilike_search": "select tconst, primarytitle from titles_raw where primarytitle ilike '%D WID%'",
+    "ilike_search": "select tconst, primarytitle from titles_raw where primarytitle ilike '%R URG%'",
     "aka_lookup": """select tconst, primarytitle as "primaryTitle" from titles_raw
       where tconst in (select titleid from akas_raw where title = 'Aka 42')""",
     "trigram_similarity": f"""select * from (select p_partkey, p_name,
       cast(floor(len(list_intersect(g, w)) / (len(g) + len(w) - len(list_intersect(g, w))) * 1000000 + 0.5) as bigint) as similarity
       from ({PART_TRIGRAMS}), (select {_trigrams("'red widgets'")} as w)) where similarity >= 400000""",
-    "trigram_terms": f"""select p_partkey, p_name, term,
+    "trigram_terms": f"""select tconst, primarytitle, term,
       cast(floor(len(list_intersect(g, w)) / (len(g) + len(w) - len(list_intersect(g, w))) * 1000000 + 0.5) as bigint) as similarity
-      from ({PART_TRIGRAMS}), (select distinct titulo as term, {_trigrams('titulo')} as w from (
+      from ({NAME_TRIGRAMS}), (select distinct titulo as term, {_trigrams('titulo')} as w from (
         select primarytitle as titulo from title_doc where titletype = 'movie' and votes >= 200000
         order by average desc, votes desc, tconst limit 10))
-      where len(list_intersect(g, w)) / (len(g) + len(w) - len(list_intersect(g, w))) >= 0.5""",
+      where len(list_intersect(g, w)) / (len(g) + len(w) - len(list_intersect(g, w))) >= 0.7""",
     "upsert_replace": f"""select o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} as o_totalprice from (
       select * from new_v union all select * from old_v where o_orderkey not in (select o_orderkey from new_v))""",
     "insert_ignore": f"""select o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} as o_totalprice from (

@@ -32,7 +32,7 @@ QUERIES: dict[str, Query] = {}
 # The search terms and names used below; the SQL twins name the same ones.
 DIRECTOR = "Person 10"
 DIRECTOR_RAW = " Person 10"
-PHRASE = "red widget"
+PHRASE = "October urgent"
 AS_OF = "2024-01-16 00:00:00"
 
 
@@ -323,7 +323,7 @@ def film_card(spark, folder):
 
 @query
 def film_search(spark, folder):
-    found = PF.film_search(V.staging(spark, folder), "blue gear")
+    found = PF.film_search(V.staging(spark, folder), "may specified")
     return _wide(found.select(
         "tconst", "page", "title", "year", "rating", "votes", _joined("directors", ";").alias("directors"),
         _joined("actors", ";").alias("actors"), _joined("genres").alias("genres"), "score"))
@@ -389,7 +389,7 @@ def top_actors_staging(spark, folder):
 
 @query
 def phrase_search(spark, folder):
-    return SE.phrase_search(V.titles_raw(spark, folder), "primarytitle", "Red  WIDGET").select("tconst", "primarytitle")
+    return SE.phrase_search(V.titles_raw(spark, folder), "primarytitle", "OCTOBER  urgent").select("tconst", "primarytitle")
 
 
 @query
@@ -400,7 +400,7 @@ def phrase_search_documents(spark, folder):
 
 @query
 def token_search(spark, folder):
-    found = SE.token_search(V.titles_raw(spark, folder), "primarytitle", "blue gear")
+    found = SE.token_search(V.titles_raw(spark, folder), "primarytitle", "may specified")
     return _wide(found.select("tconst", "primarytitle", "score"))
 
 
@@ -412,7 +412,7 @@ def token_search_documents(spark, folder):
 
 @query
 def ilike_search(spark, folder):
-    return SE.ilike_search(V.titles_raw(spark, folder), "primarytitle", "D WID").select("tconst", "primarytitle")
+    return SE.ilike_search(V.titles_raw(spark, folder), "primarytitle", "R URG").select("tconst", "primarytitle")
 
 
 @query
@@ -431,8 +431,8 @@ def trigram_similarity(spark, folder):
 def trigram_terms(spark, folder):
     titles = D.embed(D.title_base(V.titles_raw(spark, folder)), D.rating_part(V.ratings_raw(spark, folder)))
     terms = PF.top_rated(titles).select(F.col("titulo").alias("term"))
-    found = SE.similar_to_terms(V.table(spark, folder, "part"), "p_partkey", "p_name", terms, "term", 0.5)
-    return found.select("p_partkey", "p_name", "term", _ratio(F.col("similarity")).alias("similarity"))
+    found = SE.similar_to_terms(V.titles_raw(spark, folder), "tconst", "primarytitle", terms, "term", 0.7)
+    return found.select("tconst", "primarytitle", "term", _ratio(F.col("similarity")).alias("similarity"))
 
 
 # --- writes ----------------------------------------------------------------------------------
@@ -494,8 +494,8 @@ def audit_stamp(spark, folder):
 def publish_star(spark, folder):
     ensure_shared_dir(spark)
     root = shared_path(spark, "star")
-    star = N.build_star(V.staging(spark, folder))
-    publish.publish(spark, root, star, check=I.check_star, write=layout.write_star)
+    staging = V.staging(spark, folder)
+    publish.publish(spark, root, lambda store: N.build_star(staging, store=store), I.check_star, layout.write_star)
     return I.table_counts(publish.current(spark, root))
 
 

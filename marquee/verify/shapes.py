@@ -28,7 +28,6 @@ def _nm(number: Column) -> Column:
 
 
 def titles_raw(spark: SparkSession, folder: str) -> DataFrame:
-    o, p = table(spark, folder, "orders"), table(spark, folder, "part")
     k = F.col("o_orderkey")
     kind = (
         F.when(F.col("o_orderpriority") == "1-URGENT", "movie")
@@ -37,8 +36,9 @@ def titles_raw(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "tvMovie")
         .otherwise("videoGame")
     )
-    name = F.coalesce("p_name", F.lit("untitled"))
-    return o.join(p, F.col("p_partkey") == F.col("o_custkey"), "left").select(
+    month, day = F.date_format("o_orderdate", "MMMM"), F.date_format("o_orderdate", "EEEE")
+    name = F.concat(month, F.lit(" "), F.lower(F.substring("o_orderpriority", 3, 20)), F.lit(" "), F.col("o_custkey").cast("string"))
+    return table(spark, folder, "orders").select(
         _tt(k).alias("tconst"),
         kind.alias("titletype"),
         F.concat(F.lit("The "), name).alias("primarytitle"),
@@ -47,8 +47,8 @@ def titles_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.when(k % 11 == 0, None).when(k % 13 == 0, "19x4").otherwise(F.year("o_orderdate").cast("string")).alias("startyear"),
         F.lit(None).cast("string").alias("endyear"),
         F.when(k % 17 == 0, "n/a").otherwise((60 + k % 120).cast("string")).alias("runtimeminutes"),
-        F.when(k % 19 == 0, None).when(k % 23 == 0, "")
-        .when(k % 3 == 0, F.concat_ws(",", "p_type", "p_brand")).otherwise(F.col("p_type")).alias("genres"),
+        F.when(k % 19 == 0, None).when(k % 23 == 0, "").when(k % 3 == 0, F.concat_ws(",", month, day)).otherwise(month)
+        .alias("genres"),
     )
 
 
