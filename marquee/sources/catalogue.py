@@ -42,7 +42,7 @@ def labels_from_json(texts: DataFrame, column: str = "value") -> DataFrame:
 
 def read_json_reports(spark: SparkSession, path: str) -> DataFrame:
     """JSON report files, one report each."""
-    return labels_from_json(spark.read.option("wholetext", True).text(path))
+    return labels_from_json(spark.read.text(path, wholetext=True))
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
