@@ -31,9 +31,13 @@ def phrase_match(c: Column, phrase: str) -> Column:
     return F.contains(normalise(c), F.lit(f" {normalise_term(phrase)} "))
 
 
+def _words(c: Column) -> Column:
+    return F.array_remove(F.split(normalise(c), " "), "")
+
+
 def tokens(c: Column) -> Column:
     """Distinct words of a text."""
-    return F.array_distinct(F.filter(F.split(normalise(c), " "), lambda t: t != ""))
+    return F.array_distinct(_words(c))
 
 
 def token_score(c: Column, query: str) -> Column:
@@ -42,15 +46,17 @@ def token_score(c: Column, query: str) -> Column:
     return F.size(F.array_intersect(tokens(c), F.array(*[F.lit(w) for w in words])))
 
 
-def trigrams(c: Column) -> Column:
-    """Distinct letter triples of every word, each word padded by two spaces before and one after."""
-    words = F.filter(F.split(normalise(c), " "), lambda t: t != "")
+# Overlapping triples that start at a word's padding or inside a word, never behind its end.
+TRIPLES = r"(?=(  \S| \S.|\S\S.))"
 
-    def of_word(w: Column) -> Column:
-        padded = F.concat(F.lit("  "), w, F.lit(" "))
-        return F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))
 
-    return F.array_distinct(F.flatten(F.transform(words, of_word)))
+def trigrams(c: Column) -> Column:
+    """Distinct letter triples of every word, each word padded by two spaces before and one after.
+
+    One look-ahead pass over the padded text; no function is called per letter.
+    """
+    padded = F.replace(normalise(c), F.lit(" "), F.lit("  "))
+    return F.array_distinct(F.regexp_extract_all(padded, F.lit(TRIPLES), F.lit(1)))
 
 
 def term_trigrams(text: str) -> list[str]:

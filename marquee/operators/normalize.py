@@ -26,6 +26,16 @@ def _dimension(values: DataFrame, id_name: str, value_name: str) -> DataFrame:
     return values.distinct().limit(MAX_DIMENSION + 1).select(numbered.alias(id_name), value_name)
 
 
+def with_dimension_id(rows: DataFrame, dimension: DataFrame, id_name: str, value_name: str, column: str) -> DataFrame:
+    """Replace the text in ``column`` by its dimension id; rows with an unknown value are dropped.
+
+    The dimension is bounded by its SMALLINT ids, so it is sent to the rows and a frequent value
+    needs no shuffle.
+    """
+    ids = dimension.select(id_name, F.col(value_name).alias(column))
+    return rows.join(F.broadcast(ids), column).drop(column)
+
+
 def genres_dim(basics: DataFrame) -> DataFrame:
     listed = basics.filter(X.present(F.col("genres")))
     return _dimension(listed.select(F.explode(X.split_list(F.col("genres"))).alias("genre_name")), "genre_id",
@@ -44,7 +54,7 @@ def title_genres(basics: DataFrame, genres: DataFrame, titles: DataFrame) -> Dat
         .select("tconst", "genres")
         .join(titles.select("tconst"), "tconst", "left_semi")
         .select("tconst", F.posexplode(X.split_list(F.col("genres"))).alias("pos", "genre_name"))
-        .join(F.broadcast(genres.select("genre_id", "genre_name")), "genre_name")
+        .transform(with_dimension_id, genres, "genre_id", "genre_name", "genre_name")
         .select("tconst", "genre_id", (F.col("pos") + 1).cast("smallint").alias("genre_order"))
     )
 
@@ -55,7 +65,7 @@ def title_principals(
     """Cast and staff rows whose title, person and category are all known. Copies are kept."""
     return (
         principals.filter(X.has_key(F.col("tconst")))
-        .join(F.broadcast(categories.select("category_id", F.col("category_name").alias("category"))), "category")
+        .transform(with_dimension_id, categories, "category_id", "category_name", "category")
         .join(titles.select("tconst"), "tconst", "left_semi")
         .join(people.select("nconst"), "nconst", "left_semi")
         .select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import text as X
@@ -34,28 +34,37 @@ def similar_to_terms(
     df: DataFrame, key: str, column: str, terms: DataFrame, term: str, threshold: float = 0.3,
     max_terms: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Match each row's text against a bounded list of search terms by shared trigrams.
+    """Match each row's text against a bounded list of search terms by trigram similarity.
 
-    ``terms`` (one column ``term``) is checked against ``max_terms`` and broadcast as trigrams, so
-    the table itself is never shuffled by trigram: all trigrams of a row are counted in the task
-    that read it. ``key`` identifies a row. Result: key, column, term, similarity.
+    ``terms`` is checked against ``max_terms`` and broadcast, so the table is never shuffled by
+    trigram and a frequent trigram gathers nothing. A text as similar as ``threshold`` (above 0) to
+    a term with n trigrams shares at least threshold * n of them, so it holds one of any
+    n - ceil(threshold * n) + 1. The rarest ones find the candidates, whose similarity is then
+    computed in full. ``key`` identifies a row. Result: key, column, term, similarity.
     """
+    if threshold <= 0:
+        raise ValueError("threshold must be above 0")
     wanted = terms.select(F.col(term).alias("term")).distinct()
     if wanted.limit(max_terms + 1).count() > max_terms:
         raise ValueError(f"more than {max_terms} search terms; search in several calls")
-    index = wanted.withColumn("_g", X.trigrams(F.col("term"))).select(
-        "term", F.size("_g").alias("_tn"), F.explode("_g").alias("_gram")
+    wanted = wanted.withColumn("_tg", X.trigrams(F.col("term")))
+    grams = df.select(key, column, F.explode(X.trigrams(F.col(column))).alias("_gram"))
+
+    term_grams = wanted.select("term", F.size("_tg").alias("_tn"), F.explode("_tg").alias("_gram"))
+    known = F.broadcast(term_grams.select("_gram").distinct())
+    used = grams.join(known, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_df"))
+    rarest = Window.partitionBy("term").orderBy(F.coalesce("_df", F.lit(0)), "_gram")
+    # 1e-9 keeps a product such as 0.7 * 10 from rounding above the whole number it stands for.
+    needed = F.col("_tn") - F.ceil(F.col("_tn") * threshold - 1e-9) + 1
+    index = (
+        term_grams.join(F.broadcast(used), "_gram", "left")
+        .withColumn("_r", F.row_number().over(rarest)).filter(F.col("_r") <= needed).select("_gram", "term")
     )
-    rows = df.select(key, column, X.trigrams(F.col(column)).alias("_g")).select(
-        key, column, F.size("_g").alias("_rn"), F.explode("_g").alias("_gram")
-    )
-    shared = (
-        rows.join(F.broadcast(index), "_gram")
-        .groupBy(key, column, "term", "_rn", "_tn")
-        .agg(F.count(F.lit(1)).alias("_shared"))
-    )
-    similarity = F.col("_shared") / (F.col("_rn") + F.col("_tn") - F.col("_shared"))
-    return shared.select(key, column, "term", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
+    pairs = grams.join(F.broadcast(index), "_gram").select(key, column, "term").distinct()
+    both = pairs.join(F.broadcast(wanted), "term").withColumn("_g", X.trigrams(F.col(column)))
+    shared = F.size(F.array_intersect("_g", "_tg"))
+    similarity = shared / (F.size("_g") + F.size("_tg") - shared)
+    return both.select(key, column, "term", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
 def aka_lookup(titles: DataFrame, akas: DataFrame, title: str) -> DataFrame:

@@ -33,32 +33,40 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
 
 
 def paged_lists(
-    df: DataFrame, key: str, element: Column, name: str, page_size: int = PAGE_SIZE
+    df: DataFrame, key: str, element: Column, name: str, page_size: int = PAGE_SIZE, counted: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Collect ``element`` (a struct) per ``key`` into sorted arrays of bounded length.
 
     Returns ``(first, more)``: ``first`` has one row per key (page 0), ``more`` the further pages of
     keys with more than ``page_size`` rows, or None when no key is that large. Together the pages
     hold every row, copies included. Columns: key, page, ``name``.
+
+    ``counted`` may name a cheaper frame with at least the rows of ``df`` per key, to find large keys.
     """
-    rows = df.select(F.col(key), element.alias("_e"))
-    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > page_size)
+    sizes = (
+        (df if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > page_size)
+    )
 
     def collect(part: DataFrame) -> DataFrame:
-        return part.groupBy(key).agg(F.sort_array(F.collect_list("_e")).alias(name)).select(
+        # Rows travel as they are and become structs behind the shuffle: collecting first would
+        # only sort and copy arrays that no task can shorten.
+        near = part.repartition(key).select(F.col(key), element.alias("_e"))
+        return near.groupBy(key).agg(F.sort_array(F.collect_list("_e")).alias(name)).select(
             key, F.lit(0).cast("bigint").alias("page"), name
         )
 
     if sizes.isEmpty():
-        return collect(rows), None
+        return collect(df), None
 
     large = broadcast_if_small(sizes)
-    small_rows = rows.join(large.select(key), key, "left_anti")
+    small_rows = df.join(large.select(key), key, "left_anti")
+    hot_rows = df.select(F.col(key), element.alias("_e")).join(large.select(key), key, "left_semi")
     # Copies of one element are counted before the shuffle, then cut into runs of at most a page.
     # Pages follow the hash of (element, run), so they have about page_size elements each.
-    counted = rows.join(large.select(key), key, "left_semi").groupBy(key, "_e").agg(F.count(F.lit(1)).alias("_c"))
+    copies = hot_rows.groupBy(key, "_e").agg(F.count(F.lit(1)).alias("_c"))
     runs = (
-        counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_c - 1) div {page_size}"))))
+        copies.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_c - 1) div {page_size}"))))
         .withColumn("_k", F.least(F.lit(page_size), F.col("_c") - F.col("_run") * page_size).cast("int"))
         .join(large, key)
         .withColumn("page", F.pmod(F.xxhash64("_e", "_run"), F.ceil(F.col("_n") / page_size)))
@@ -72,6 +80,5 @@ def paged_lists(
         )
     )
     # Every large key keeps a page 0, also where no run hashed to it, so title-level work finds it.
-    page0 = large.select(key, F.lit(0).cast("bigint").alias("page"))
-    hot = page0.join(hot.filter("page = 0"), [key, "page"], "left").unionByName(hot.filter("page > 0"))
-    return collect(small_rows).unionByName(hot.filter("page = 0")), hot.filter("page > 0")
+    page0 = large.select(key, F.lit(0).cast("bigint").alias("page")).join(hot.filter("page = 0"), [key, "page"], "left")
+    return collect(small_rows).unionByName(page0), hot.filter("page > 0")

@@ -111,7 +111,10 @@ def film_search(staging: dict[str, DataFrame], query: str, page_size: int = PAGE
         staging["title_principals"].join(keys, "tconst", "left_semi").select("tconst", "nconst")
         .distinct().join(people, "nconst")
     )
-    cast, more = paged_lists(cast_rows, "tconst", F.struct("primaryName", "nconst"), "_a", page_size)
+    cast, more = paged_lists(
+        cast_rows, "tconst", F.struct("primaryName", "nconst"), "_a", page_size,
+        counted=staging["title_principals"].select("tconst"),
+    )
     cast = cast if more is None else cast.unionByName(more)
     out = titles.join(directors, "tconst", "left").join(cast, "tconst", "left")
     none = F.array().cast("array<string>")

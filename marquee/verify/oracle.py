@@ -108,27 +108,27 @@ CTES = {
       {_year('birthyear')} as birth_year, {_year('deathyear')} as death_year from names_raw where nconst > '')
       where primary_name is not null""",
     "ratings": """select r.tconst, cast(averagerating as decimal(3,1)) as average_rating, cast(numvotes as bigint) as num_votes
-      from ratings_raw r join titles t on t.tconst = r.tconst""",
+      from ratings_raw r where r.tconst in (select tconst from titles)""",
     "genre_rows": f"""select tconst, unnest({_list('genres')}) as genre_name,
       unnest(range(1, len({_list('genres')}) + 1)) as genre_order from titles_raw where genres is not null""",
     "genres": """select row_number() over (order by genre_name) as genre_id, genre_name
       from (select distinct genre_name from genre_rows)""",
     "title_genres": """select r.tconst, g.genre_id, cast(r.genre_order as bigint) as genre_order from genre_rows r
-      join genres g on g.genre_name = r.genre_name join titles t on t.tconst = r.tconst""",
+      join genres g on g.genre_name = r.genre_name where r.tconst in (select tconst from titles)""",
     "categories": """select row_number() over (order by category) as category_id, category as category_name
       from (select distinct category from principals_raw where category is not null and category <> '\\N')""",
     "title_principals": """select p.tconst, cast(p.ordering as bigint) as ordering, p.nconst, c.category_id,
       nullif(p.job, '\\N') as job, nullif(p.characters, '\\N') as characters from principals_raw p
-      join categories c on c.category_name = p.category join titles t on t.tconst = p.tconst
-      join people pe on pe.nconst = p.nconst""",
+      join categories c on c.category_name = p.category where p.tconst in (select tconst from titles)
+      and p.nconst in (select nconst from people)""",
     "crew_rows": f"""select tconst, unnest({_list('directors')}) as nconst, 'director' as crew_type from crew_raw
       where directors is not null
       union all select tconst, unnest({_list('writers')}), 'writer' from crew_raw where writers is not null""",
     "title_crew": """select r.tconst, r.nconst, r.crew_type from crew_rows r
-      join titles t on t.tconst = r.tconst join people p on p.nconst = r.nconst""",
+      where r.tconst in (select tconst from titles) and r.nconst in (select nconst from people)""",
     "episodes": f"""select e.tconst as episode_tconst, e.parenttconst as parent_tconst,
       {_digits('seasonnumber')} as season_number, {_digits('episodenumber')} as episode_number from episodes_raw e
-      join titles c on c.tconst = e.tconst join titles p on p.tconst = e.parenttconst""",
+      where e.tconst in (select tconst from titles) and e.parenttconst in (select tconst from titles)""",
     "title_doc": f"""select t.tconst, titletype, primarytitle, {_year('startyear')} as startyear,
       {_digits('runtimeminutes')} as runtimeminutes, coalesce(nullif(genres, ''), '') as genres,
       cast(averagerating as double) as average, cast(numvotes as bigint) as votes, directors, writers,
@@ -138,6 +138,7 @@ CTES = {
     "cast_rows": """select tconst, cast(ordering as integer) as ordering, nconst, category, job, characters,
       case when characters is null then '' else concat_ws('/', unnest_1, 'Alt') end as roles from (
         select *, concat('Role ', ordering) as unnest_1 from principals_raw)""",
+    "hit": f"select min(tconst) as tconst from titles_raw where contains({_norm('primarytitle')}, ' october urgent ')",
     "old_v": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders where o_orderdate < timestamp '2000-01-01'",
     "new_v": """select o_orderkey, o_custkey, o_orderstatus,
       case when o_orderstatus = 'P' then o_totalprice + 1 else o_totalprice end as o_totalprice
@@ -237,15 +238,13 @@ BODIES = {
     "embed_rating": "select tconst, average, votes from title_doc",
     "embed_crew": "select tconst, case when has_crew then coalesce(directors, '') end as directors, "
                   "case when has_crew then coalesce(writers, '') end as writers from title_doc",
-    "embed_principals": """select t.tconst, cast(0 as bigint) as page, coalesce(c.principals, '') as principals from titles_raw t
-      left join (select tconst, string_agg(concat_ws('|', ordering, nconst, category, coalesce(job, '-'), roles), ';'
-        order by ordering, nconst, category, job nulls first, roles) as principals from cast_rows group by tconst) c
-      on c.tconst = t.tconst""",
+    "embed_principals": """select t.tconst, t.titletype as "titleType", cast(c.ordering as bigint) as ordering, c.nconst, c.category,
+      c.job, c.roles as characters from titles_raw t join cast_rows c on c.tconst = t.tconst""",
     "embed_episode": f"""select t.tconst, e.parenttconst as parent_tconst, {_digits('seasonnumber')} as season_number,
       {_digits('episodenumber')} as episode_number from titles_raw t left join episodes_raw e on e.tconst = t.tconst""",
     "title_documents": f"""select t.tconst, titletype as "titleType", startyear as "startYear", genres, votes,
       case when has_crew then cast(coalesce(len({_list('directors')}), 0) as bigint) end as directors,
-      coalesce(p.n, 0) as principals, e.parenttconst as parent_tconst, cast(0 as bigint) as page from title_doc t
+      cast(coalesce(p.n, 0) as bigint) as principals, e.parenttconst as parent_tconst from title_doc t
       left join (select tconst, count(*) as n from principals_raw group by tconst) p on p.tconst = t.tconst
       left join episodes_raw e on e.tconst = t.tconst""",
     "people_documents": f"""select nconst, primaryname as "primaryName", {_year('birthyear')} as "birthYear",
@@ -264,25 +263,20 @@ BODIES = {
       case when len(d) > 1 then cast(list_position(d, d[2]) - 1 as bigint) end as second_at,
       array_to_string(list_transform(d, lambda x: substr(x, 3)), ',') as numbers
       from (select tconst, {_list('directors')} as d from title_doc) where len(d) > 0""",
-    "film_card": f"""select t.tconst, cast(0 as bigint) as page, t.primarytitle as titulo_principal, t.titletype as tipo,
-      t.startyear as ano_lanzamiento, t.runtimeminutes as duracion_minutos, t.genres as generos, t.average as promedio,
-      t.votes as votos, coalesce(dn.names, '') as directores,
-      coalesce((select string_agg(concat(coalesce(n.primaryname, '?'), ':', c.roles), ';'
-        order by c.ordering, c.nconst, c.category, n.primaryname nulls first, c.roles)
-        from cast_rows c left join names_raw n on n.nconst = c.nconst where c.tconst = t.tconst), '') as reparto_principal,
-      coalesce((select string_agg(concat(a.title, ':', coalesce(a.region, '?')), ';'
-        order by cast(a.ordering as integer), a.title, a.region nulls first)
-        from akas_raw a where a.titleid = t.tconst), '') as otros_titulos
-      from title_doc t left join ({NAMES_AGG}) dn on dn.tconst = t.tconst
-      where t.tconst = (select min(tconst) from titles_raw where contains({_norm('primarytitle')}, ' october urgent '))""",
-    "film_search": f"""select t.tconst, cast(0 as bigint) as page, t.primarytitle as title, t.startyear as year, t.average as rating,
-      t.votes, coalesce(dn.names, '') as directors, coalesce(c.names, '') as actors, t.genres,
-      cast(len(list_intersect({_tokens('t.primarytitle')}, ['may', 'specified'])) as bigint) as score
-      from title_doc t left join ({NAMES_AGG}) dn on dn.tconst = t.tconst
-      left join (select p.tconst, string_agg(n.primaryname, ';' order by n.primaryname, p.nconst) as names
-        from (select distinct tconst, nconst from principals_raw) p join names_raw n on n.nconst = p.nconst group by p.tconst) c
-        on c.tconst = t.tconst
-      where len(list_intersect({_tokens('t.primarytitle')}, ['may', 'specified'])) > 0""",
+    "film_card": f"""select t.tconst, 'film' as section, unnest([primarytitle, coalesce(cast(startyear as varchar), '?'),
+        coalesce(cast(average as varchar), '?'), genres]) as a,
+        unnest([titletype, coalesce(cast(runtimeminutes as varchar), '?'), coalesce(cast(votes as varchar), '?'),
+        coalesce(names, '')]) as b from title_doc t left join ({NAMES_AGG}) dn on dn.tconst = t.tconst
+        where t.tconst in (select tconst from hit)
+      union all select c.tconst, 'cast', n.primaryname, c.roles from cast_rows c left join names_raw n on n.nconst = c.nconst
+        where c.tconst in (select tconst from hit)
+      union all select titleid, 'aka', title, region from akas_raw where titleid in (select tconst from hit)""",
+    "film_search": f"""select t.tconst, t.startyear as year, t.average as rating, t.votes, t.genres, t.score, r.kind, r.text from (
+        select *, cast(len(list_intersect({_tokens('primarytitle')}, ['may', 'specified'])) as bigint) as score from title_doc) t
+      join (select d.tconst, 'title' as kind, concat(d.primarytitle, '/', coalesce(dn.names, '')) as text
+          from title_doc d left join ({NAMES_AGG}) dn on dn.tconst = d.tconst
+        union all select p.tconst, 'actor', n.primaryname from (select distinct tconst, nconst from principals_raw) p
+          join names_raw n on n.nconst = p.nconst) r on r.tconst = t.tconst where t.score > 0""",
     "director_works": """select t.primarytitle as titulo, t.startyear as ano, t.titletype as tipo
       from (select distinct tconst, nconst from directing) d join names_raw n on n.nconst = d.nconst
       join title_doc t on t.tconst = d.tconst where n.primaryname = ' Person 10'""",

@@ -231,17 +231,13 @@ def embed_crew(spark, folder):
     return docs.select("tconst", _joined("crew.directors").alias("directors"), _joined("crew.writers").alias("writers"))
 
 
-def _cast_text(c: str) -> Column:
-    return _joined(
-        F.transform(c, lambda p: F.concat_ws(
-            "|", p["ordering"].cast("string"), p["nconst"], p["category"], F.coalesce(p["job"], F.lit("-")),
-            F.array_join(p["characters"], "/"))), ";")
-
-
 @query
 def embed_principals(spark, folder):
+    """Unfolded again, so that the rows do not depend on how a large cast is paged."""
     docs = _title_docs(spark, folder, "principals")
-    return docs.select("tconst", "page", _cast_text("principals").alias("principals"))
+    rows = docs.select("tconst", "titleType", F.explode("principals").alias("p"))
+    return _wide(rows.select("tconst", "titleType", "p.ordering", "p.nconst", "p.category", "p.job",
+                             _joined("p.characters", "/").alias("characters")))
 
 
 @query
@@ -253,10 +249,12 @@ def embed_episode(spark, folder):
 @query
 def title_documents(spark, folder):
     docs = D.build_documents(V.staging(spark, folder))["titles"]
-    return _wide(docs.select(
+    keys = ["tconst", "titleType", "startYear", "genres", "votes", "directors", "parent_tconst"]
+    flat = docs.select(
         "tconst", "titleType", "startYear", _joined("genres").alias("genres"),
         F.col("rating.votes").alias("votes"), F.size("crew.directors").alias("directors"),
-        F.size("principals").alias("principals"), "parent_tconst", "page"))
+        "parent_tconst", F.size("principals").alias("n"))
+    return _wide(flat.groupBy(*keys).agg(F.sum("n").alias("principals")))
 
 
 @query
@@ -308,25 +306,46 @@ def crew_positions(spark, folder):
 # --- reports over documents ------------------------------------------------------------------
 
 
+def _section(name: str, rows: Column, fields: Callable[[Column], tuple]) -> Column:
+    """Entries of one list of a report as (section, a, b) structs."""
+
+    def entry(x: Column) -> Column:
+        first, second = fields(x)
+        return F.struct(F.lit(name).alias("section"), first.alias("a"), second.alias("b"))
+
+    return F.transform(rows, entry)
+
+
 @query
 def film_card(spark, folder):
+    """The card unfolded to (section, a, b) rows, so that they do not depend on paging."""
     card = PF.film_card(V.staging(spark, folder), PHRASE)
-    cast = F.transform("reparto_principal", lambda p: F.concat(
-        F.coalesce(p["nombre_actor"], F.lit("?")), F.lit(":"), F.array_join(p["personajes"], "/")))
-    other = F.transform("otros_titulos", lambda a: F.concat(a["titulo"], F.lit(":"), F.coalesce(a["region"], F.lit("?"))))
-    return _wide(card.select(
-        "tconst", "page", "titulo_principal", "tipo", F.col("año_lanzamiento").alias("ano_lanzamiento"),
-        "duracion_minutos", _joined("generos").alias("generos"), F.col("rating.promedio").alias("promedio"),
-        F.col("rating.votos").alias("votos"), _joined("directores", ";").alias("directores"),
-        _joined(cast, ";").alias("reparto_principal"), _joined(other, ";").alias("otros_titulos")))
+    year, minutes = F.col("año_lanzamiento").cast("string"), F.col("duracion_minutos").cast("string")
+    facts = F.array(
+        F.struct(F.col("titulo_principal").alias("a"), F.col("tipo").alias("b")),
+        F.struct(F.coalesce(year, F.lit("?")).alias("a"), F.coalesce(minutes, F.lit("?")).alias("b")),
+        F.struct(F.coalesce(F.col("rating.promedio").cast("string"), F.lit("?")).alias("a"),
+                 F.coalesce(F.col("rating.votos").cast("string"), F.lit("?")).alias("b")),
+        F.struct(_joined("generos").alias("a"), _joined("directores", ";").alias("b")))
+    none = F.array().cast("array<struct<section:string,a:string,b:string>>")
+    sections = F.concat(
+        F.when(F.col("page") == 0, _section("film", facts, lambda x: (x["a"], x["b"]))).otherwise(none),
+        _section("cast", F.col("reparto_principal"), lambda p: (p["nombre_actor"], F.array_join(p["personajes"], "/"))),
+        _section("aka", F.col("otros_titulos"), lambda a: (a["titulo"], a["region"])))
+    return card.select("tconst", F.explode(sections).alias("s")).select("tconst", "s.section", "s.a", "s.b")
 
 
 @query
 def film_search(spark, folder):
+    """One row per found title and one per cast name of it."""
     found = PF.film_search(V.staging(spark, folder), "may specified")
+    title = F.when(F.col("page") == 0, F.array(F.concat(F.col("title"), F.lit("/"), _joined("directors", ";"))))
+    title = F.coalesce(title, F.array().cast("array<string>"))
+    rows = F.concat(F.transform(title, lambda t: F.struct(F.lit("title").alias("kind"), t.alias("text"))),
+                    F.transform("actors", lambda t: F.struct(F.lit("actor").alias("kind"), t.alias("text"))))
     return _wide(found.select(
-        "tconst", "page", "title", "year", "rating", "votes", _joined("directors", ";").alias("directors"),
-        _joined("actors", ";").alias("actors"), _joined("genres").alias("genres"), "score"))
+        "tconst", "year", "rating", "votes", _joined("genres").alias("genres"), "score", F.explode(rows).alias("r"))
+        .select("tconst", "year", "rating", "votes", "genres", "score", "r.kind", "r.text"))
 
 
 def _works(df: DataFrame) -> DataFrame:

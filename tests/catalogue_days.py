@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.normalize import with_dimension_id
 from marquee.operators.upsert import fold_batches
 from marquee.schemas import STAR_DDL
 
@@ -96,8 +97,8 @@ def star(spark) -> dict[str, DataFrame]:
         "ratings": fold_batches(rating_batches(spark), ["tconst"], "day", "kind", ["average_rating", "num_votes"]),
         "genres": genres,
         "categories": categories,
-        "title_genres": listed.join(genres, "genre_name").select("tconst", "genre_id", "genre_order"),
-        "title_principals": cast.join(categories, "category_name").select(
+        "title_genres": with_dimension_id(listed, genres, "genre_id", "genre_name", "genre_name").select("tconst", "genre_id", "genre_order"),
+        "title_principals": with_dimension_id(cast, categories, "category_id", "category_name", "category_name").select(
             "tconst", "ordering", "nconst", "category_id", "job", "characters"),
         "title_crew": spark.createDataFrame(CREW, STAR_DDL["title_crew"]),
         "episodes": spark.createDataFrame(EPISODES, STAR_DDL["episodes"]),
