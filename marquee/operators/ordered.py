@@ -7,10 +7,11 @@ row per (group, slice) carries the state across slices. Both ways give the same
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.skew import GROUP_LIMIT, largest_group
+from marquee.operators.skew import GROUP_LIMIT, group_sizes
 
 MAX_SLICES = 4096
 
@@ -23,20 +24,14 @@ def _ascending(cols: list[str]) -> list[Column]:
     return [F.col(c).asc() for c in cols]
 
 
-def _slice_column(df: DataFrame, col: str, rows: int, limit: int) -> Column:
-    """Slice number of a numeric column, from quantiles of the whole table."""
+def _add_slices(df: DataFrame, col: str, rows: int, limit: int) -> DataFrame:
+    """Add ``_slice``, the quantile range that the numeric column ``col`` falls into."""
     n = max(2, min(MAX_SLICES, -(-4 * rows // limit)))
-    cuts = df.approxQuantile(col, [i / n for i in range(1, n)], 1 / (4 * n))
-    cuts = sorted(set(cuts))
-    # width_bucket-like search over the sorted cuts: a balanced tree of comparisons.
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(col) <= F.lit(cuts[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(cuts))
+    cuts = sorted(set(df.approxQuantile(col, [i / n for i in range(1, n)], 1 / (4 * n))))
+    if not cuts:
+        return df.withColumn("_slice", F.lit(0.0))
+    splits = [float("-inf"), *cuts, float("inf")]
+    return Bucketizer(splits=splits, inputCol=col, outputCol="_slice", handleInvalid="keep").transform(df)
 
 
 def within(
@@ -62,14 +57,14 @@ def within(
     for name, value in {**previous, **following}.items():
         base = base.withColumn(f"_v_{name}", value)
 
-    top = largest_group(df, group)
     keys = list(group)
-    sliced = top > limit
+    largest, rows = group_sizes(df, group)
+    sliced = largest > limit
     if sliced:
-        kind = dict(df.dtypes)[order[0]]
-        position = F.unix_micros(order[0]) if kind.startswith("timestamp") else F.col(order[0]).cast("double")
-        base = base.withColumn("_pos", position)
-        base = base.withColumn("_slice", _slice_column(base, "_pos", df.count(), limit)).drop("_pos")
+        position = F.col(order[0])
+        if dict(df.dtypes)[order[0]].startswith("timestamp"):
+            position = F.unix_micros(position.cast("timestamp"))
+        base = _add_slices(base.withColumn("_pos", position.cast("double")), "_pos", rows, limit)
         keys = [*group, "_slice"]
 
     before = Window.partitionBy(*keys).orderBy(*_ascending(order)).rowsBetween(Window.unboundedPreceding, -1)

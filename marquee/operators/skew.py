@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.session import shared_path
+
 # Rows one task may hold for one key.
 GROUP_LIMIT = 1_000_000
 # Elements one nested array may hold; the rest of a key goes to further pages.
@@ -24,12 +26,27 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the most frequent key. Only one number reaches the driver."""
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the most frequent key and of the whole frame. Two numbers reach the driver."""
     if not keys:
-        return df.count()
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return top or 0
+        rows = df.count()
+        return rows, rows
+    top, rows = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return top or 0, rows or 0
+
+
+def keep(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that several uses compute it once.
+
+    The copy outlives lost executors. Without a shared folder the frame itself is returned.
+    """
+    spark = df.sparkSession
+    try:
+        path = shared_path(spark, label)
+    except ValueError:
+        return df
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def paged_lists(
@@ -59,7 +76,7 @@ def paged_lists(
     if sizes.isEmpty():
         return collect(df), None
 
-    large = broadcast_if_small(sizes)
+    large = broadcast_if_small(keep(sizes, "large-keys"))
     small_rows = df.join(large.select(key), key, "left_anti")
     hot_rows = df.select(F.col(key), element.alias("_e")).join(large.select(key), key, "left_semi")
     # Copies of one element are counted before the shuffle, then cut into runs of at most a page.
@@ -71,13 +88,14 @@ def paged_lists(
         .join(large, key)
         .withColumn("page", F.pmod(F.xxhash64("_e", "_run"), F.ceil(F.col("_n") / page_size)))
     )
-    hot = (
+    hot = keep(
         runs.groupBy(key, "page")
         .agg(F.collect_list(F.struct("_e", "_k")).alias("_l"))
         .select(
             key, "page",
             F.sort_array(F.flatten(F.transform("_l", lambda x: F.array_repeat(x["_e"], x["_k"])))).alias(name),
-        )
+        ),
+        "pages",
     )
     # Every large key keeps a page 0, also where no run hashed to it, so title-level work finds it.
     page0 = large.select(key, F.lit(0).cast("bigint").alias("page")).join(hot.filter("page = 0"), [key, "page"], "left")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators.ordered import within
-from marquee.operators.skew import broadcast_if_small, largest_group, paged_lists
+from marquee.operators.skew import broadcast_if_small, group_sizes, paged_lists
 
 
 def brute(rows):
@@ -22,17 +22,17 @@ def brute(rows):
 
 
 @pytest.mark.parametrize("limit", [1_000_000, 40])
-@pytest.mark.parametrize("kind", ["number", "timestamp"])
+@pytest.mark.parametrize("kind", ["number", "timestamp", "timestamp_ntz"])
 def test_within_equals_brute_force(spark, as_rows, limit, kind):
     rnd = random.Random(7)
     # One group holds most rows, and a null group exists.
     rows = [(rnd.choice(["hot", "hot", "hot", "a", "b", None]), rnd.randrange(60), i, rnd.choice([None, f"v{i}"])) for i in range(400)]
     df = spark.createDataFrame(rows, "g string, t bigint, i int, v string")
-    if kind == "timestamp":
-        df = df.withColumn("t", F.timestamp_seconds("t"))
+    if kind != "number":
+        df = df.withColumn("t", F.timestamp_seconds("t").cast(kind))
     got = within(df, ["g"], ["t", "i"], previous={"p": F.col("v")}, following={"n": F.col("v")}, number="k", limit=limit)
-    if kind == "timestamp":
-        got = got.withColumn("t", F.unix_timestamp("t"))
+    if kind != "number":
+        got = got.withColumn("t", F.unix_timestamp(F.col("t").cast("timestamp")))
     assert as_rows(got) == brute(rows)
 
 
@@ -57,6 +57,6 @@ def test_pages_hold_every_row(spark):
 
 def test_bounds(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)], "k string")
-    assert largest_group(df, ["k"]) == 5 and largest_group(df, []) == 6 and largest_group(df.filter("false"), ["k"]) == 0
+    assert group_sizes(df, ["k"]) == (5, 6) and group_sizes(df, []) == (6, 6) and group_sizes(df.filter("false"), ["k"]) == (0, 0)
     plan = lambda d: d._jdf.queryExecution().logical().toString()
     assert "broadcast" in plan(broadcast_if_small(df)) and "broadcast" not in plan(broadcast_if_small(df, 3))
