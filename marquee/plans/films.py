@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import text as X
 from marquee.operators import documents as D
-from marquee.operators.skew import PAGE_SIZE, paged_lists
+from marquee.operators.skew import PAGE_SIZE, broadcast_if_small, paged_lists
 
 ACTING = ["actor", "actress"]
 
@@ -41,14 +41,13 @@ def film_card(
     film = D.title_base(of_film("title_basics"))
     film = D.embed(D.embed(film, D.rating_part(of_film("title_ratings"))), D.crew_part(of_film("title_crew")))
 
-    directors = _names(film.select("tconst", F.col("crew.directors").alias("ids")), people, "directores", few=True)
+    credits = D.crew_part(of_film("title_crew")).select("tconst", F.col("crew.directors").alias("ids"))
+    directors = _names(credits, people, "directores", few=True)
 
-    cast_rows = (
-        of_film("title_principals")
-        .select("tconst", D.principal_struct(characters).alias("p"))
-        .select("tconst", "p.*")
-        .join(people, "nconst", "left")
-    )
+    cast_rows = of_film("title_principals").select("tconst", D.principal_struct(characters).alias("p")).select("tconst", "p.*")
+    # The cast picks its people first: only those few take part in the outer join.
+    members = broadcast_if_small(cast_rows.select("nconst").distinct())
+    cast_rows = cast_rows.join(people.join(members, "nconst", "left_semi"), "nconst", "left")
     entry = F.struct("ordering", "nconst", "category", F.col("primaryName").alias("nombre_actor"),
                      F.col("characters").alias("personajes"))
     cast, more_cast = paged_lists(cast_rows, "tconst", entry, "_cast", page_size)
@@ -180,7 +179,7 @@ def _name_late(counts: DataFrame, people: DataFrame, n: int, order: list[Column]
     """
     top = counts.orderBy(*order).limit(n)
     named = people.select("nconst", "primaryName").join(F.broadcast(top.select("nconst")), "nconst", "left_semi")
-    return top.join(F.broadcast(named), "nconst", "left")
+    return top.join(named, "nconst", "left")
 
 
 def top_directors(titles: DataFrame, people: DataFrame, n: int = 1, films_only: bool = False) -> DataFrame:
