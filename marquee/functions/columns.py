@@ -76,18 +76,37 @@ def index_of(c: Column, value) -> Column:
     return F.array_position(c, value).cast("int") - 1
 
 
+# What a letter behind a backslash stands for.
+ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
+
+
 def decode_escapes(c: Column) -> Column:
-    """Backslash escapes of a text dump. Doubled backslashes are taken apart first, so that an
-    escaped backslash before a letter is not read as an escape."""
+    """Backslash escapes of a text dump: letters, octal and hexadecimal codes; any other character
+    stands for itself. Doubled backslashes are taken apart first, so that an escaped backslash
+    before a letter is not read as an escape."""
+
+    def coded(seg: Column, pattern: str, base: int) -> tuple[Column, Column]:
+        digits = F.regexp_extract(seg, pattern, 1)
+        text = F.concat(F.char(F.conv(digits, base, 10).cast("bigint")), F.regexp_replace(seg, pattern, ""))
+        return digits != "", text
+
+    def segment(seg: Column) -> Column:
+        letter, rest = F.substring(seg, 2, 1), F.regexp_replace(seg, r"(?s)^\\.?", "")
+        plain = letter
+        for mark, char in ESCAPES.items():
+            plain = F.when(letter == mark, char).otherwise(plain)
+        is_hex, hex_text = coded(seg, r"^\\x([0-9A-Fa-f]{1,2})", 16)
+        is_octal, octal_text = coded(seg, r"^\\([0-7]{1,3})", 8)
+        return (
+            F.when(~seg.startswith("\\"), seg)
+            .when(is_hex, hex_text).when(is_octal, octal_text).otherwise(F.concat(plain, rest))
+        )
 
     def piece(p: Column) -> Column:
-        for mark, char in (("b", "\b"), ("f", "\f"), ("n", "\n"), ("r", "\r"), ("t", "\t"), ("v", "\v")):
-            p = F.replace(p, F.lit("\\" + mark), F.lit(char))
-        return F.regexp_replace(p, r"\\(.)", "$1")
+        return F.array_join(F.transform(F.split(p, r"(?=\\)"), segment), "")
 
-    plain = ~F.contains(c, F.lit("\\"))
     parts = F.split(c, r"\\\\")
-    return F.when(c.isNull() | plain, c).otherwise(F.array_join(F.transform(parts, piece), "\\"))
+    return F.when(c.isNull() | ~F.contains(c, F.lit("\\")), c).otherwise(F.array_join(F.transform(parts, piece), "\\"))
 
 
 # --- snapshot stamps -------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import text as X
-from marquee.operators.skew import BROADCAST_ROWS
+from marquee.operators.skew import BROADCAST_ROWS, keep
 
 
 def phrase_search(df: DataFrame, column: str, phrase: str) -> DataFrame:
@@ -44,8 +44,9 @@ def similar_to_terms(
     """
     if threshold <= 0:
         raise ValueError("threshold must be above 0")
-    wanted = terms.select(F.col(term).alias("term")).distinct()
-    if wanted.limit(max_terms + 1).count() > max_terms:
+    # Kept once: the terms are used for counting, indexing and scoring.
+    wanted = keep(terms.select(F.col(term).alias("term")).distinct().limit(max_terms + 1), "terms")
+    if wanted.count() > max_terms:
         raise ValueError(f"more than {max_terms} search terms; search in several calls")
     wanted = wanted.withColumn("_tg", X.trigrams(F.col("term")))
     grams = df.select(key, column, F.explode(X.trigrams(F.col(column))).alias("_gram"))

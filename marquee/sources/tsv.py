@@ -42,6 +42,10 @@ def _lines(spark: SparkSession, path: str, names: list[str], header: bool, encod
 def cut(lines: DataFrame, names: list[str], escapes: bool = False, extra_na: list[str] | None = None) -> DataFrame:
     """Lines (column ``value``) to named text columns plus ``_width``, the number of fields found."""
     fields = F.split(F.col("value"), "\t", -1)
+    if escapes:
+        # A tab behind an odd number of backslashes belongs to the field; such lines are rare.
+        escaped = F.contains(F.col("value"), F.lit("\\\t"))
+        fields = F.when(escaped, F.split(F.col("value"), r"(?<!(?<!\\)(?:\\\\){0,99}\\)\t", -1)).otherwise(fields)
     na = [NULL_MARK, *(extra_na or [])]
 
     def field(i: int) -> Column:

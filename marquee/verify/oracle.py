@@ -376,6 +376,10 @@ BODIES = {
         "episodes": f"episodes where episode_tconst not in {GONE_TITLES} and parent_tconst not in {GONE_TITLES}",
         "akas": "akas_raw",
     }),
+    "table_shapes": " union all ".join(
+        f"select '{t}' as \"table\", count(*) as rows, cast({n} as bigint) as columns from {t}" for t, n in [
+            ("orders", 6), ("lineitem", 11), ("part", 6), ("customer", 5), ("supplier", 4), ("nation", 3), ("region", 2),
+            ("events", 6), ("documents", 5), ("pages", 3)]),
     "snapshot_diff": DIFF.format(cents=_cents("n.o_totalprice")),
     "apply_changes": f"select o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} as o_totalprice from new_v",
     "rebuild_chain": f"select o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} as o_totalprice from new_v where o_orderstatus <> 'O'",

@@ -599,10 +599,21 @@ def cascade_delete(spark, folder):
     return I.table_counts(I.cascade_delete(star, gone_titles, gone_people))
 
 
+PROFILED = ["orders", "lineitem", "part", "customer", "supplier", "nation", "region", "events", "documents", "pages"]
+
+
+def _profile(spark, folder) -> DataFrame:
+    return layout.profile(spark, {n: f"{folder.rstrip('/')}/{n}.parquet" for n in PROFILED})
+
+
 @query
 def table_profile(spark, folder):
-    names = ["orders", "lineitem", "part", "customer", "supplier", "nation", "region", "events"]
-    return layout.profile(spark, {n: f"{folder.rstrip('/')}/{n}.parquet" for n in names})
+    return _profile(spark, folder)
+
+
+@query
+def table_shapes(spark, folder):
+    return _profile(spark, folder).select("table", "rows", "columns")
 
 
 # --- versions --------------------------------------------------------------------------------

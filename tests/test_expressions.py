@@ -48,7 +48,8 @@ def test_decimal_rounding(spark):
 
 
 @pytest.mark.parametrize("raw,want", [(r"a\tb", "a\tb"), (r"a\\tb", r"a\tb"), (r"\\", "\\"), (r"a\qb", "aqb"), ("plain", "plain"),
-                                      (r"x\nq\\\ty", "x\nq\\\ty")])
+                                      (r"x\nq\\\ty", "x\nq\\\ty"), (r"\x41b\101c\7", "AbAc\x07"), ("a\\\tb", "a\tb"),
+                                      (r"\x", "x"), (r"\\x41", r"\x41"), ("end\\", "end")])
 def test_escapes(spark, raw, want):
     assert one(spark, raw, X.decode_escapes) == want
 

@@ -60,3 +60,10 @@ def test_all_files_and_append(spark, tmp_path):
     assert spark.read.parquet(kept).count() == 1
     tsv.write_staging(tables["title_ratings"], kept, append=True)
     assert spark.read.parquet(kept).count() == 2
+
+
+def test_escaped_tabs(spark, tmp_path):
+    path = write(tmp_path, "e.tsv", ["a\\\tb\t1", "c\\\\\t2", "d\\\\\\\te\t3"])
+    good, bad = tsv.read_tsv(spark, path, ["x", "y"], header=False)
+    assert sorted(tuple(r) for r in good.collect()) == [("a\tb", "1"), ("c\\", "2"), ("d\\\te", "3")]
+    assert bad.count() == 0
