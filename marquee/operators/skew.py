@@ -50,7 +50,8 @@ def keep(df: DataFrame, label: str) -> DataFrame:
 
 
 def paged_lists(
-    df: DataFrame, key: str, element: Column, name: str, page_size: int = PAGE_SIZE, counted: DataFrame | None = None
+    df: DataFrame, key: str, element: Column, name: str, page_size: int = PAGE_SIZE, counted: DataFrame | None = None,
+    largest: int | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Collect ``element`` (a struct) per ``key`` into sorted arrays of bounded length.
 
@@ -58,7 +59,8 @@ def paged_lists(
     keys with more than ``page_size`` rows, or None when no key is that large. Together the pages
     hold every row, copies included. Columns: key, page, ``name``.
 
-    ``counted`` may name a cheaper frame with at least the rows of ``df`` per key, to find large keys.
+    ``counted`` may name a cheaper frame with at least the rows of ``df`` per key, to find large keys;
+    ``largest`` a bound on the rows of any key that the caller already knows.
     """
     sizes = (
         (df if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
@@ -73,7 +75,7 @@ def paged_lists(
             key, F.lit(0).cast("bigint").alias("page"), name
         )
 
-    if sizes.isEmpty():
+    if (largest is not None and largest <= page_size) or sizes.isEmpty():
         return collect(df), None
 
     large = broadcast_if_small(keep(sizes, "large-keys"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import text as X
 from marquee.operators import documents as D
-from marquee.operators.skew import PAGE_SIZE, broadcast_if_small, paged_lists
+from marquee.operators.skew import BROADCAST_ROWS, PAGE_SIZE, paged_lists
 
 ACTING = ["actor", "actress"]
 
@@ -45,15 +45,17 @@ def film_card(
     directors = _names(credits, people, "directores", few=True)
 
     cast_rows = of_film("title_principals").select("tconst", D.principal_struct(characters).alias("p")).select("tconst", "p.*")
+    cast_size, aka_size = of_film("title_principals").count(), of_film("title_akas", "titleid").count()
     # The cast picks its people first: only those few take part in the outer join.
-    members = broadcast_if_small(cast_rows.select("nconst").distinct())
+    members = cast_rows.select("nconst").distinct()
+    members = F.broadcast(members) if cast_size <= BROADCAST_ROWS else members
     cast_rows = cast_rows.join(people.join(members, "nconst", "left_semi"), "nconst", "left")
     entry = F.struct("ordering", "nconst", "category", F.col("primaryName").alias("nombre_actor"),
                      F.col("characters").alias("personajes"))
-    cast, more_cast = paged_lists(cast_rows, "tconst", entry, "_cast", page_size)
+    cast, more_cast = paged_lists(cast_rows, "tconst", entry, "_cast", page_size, largest=cast_size)
     aka_rows = D.aka_docs(of_film("title_akas", "titleid")).withColumnRenamed("titleId", "tconst")
     other = F.struct("ordering", F.col("title").alias("titulo"), "region")
-    akas, more_akas = paged_lists(aka_rows, "tconst", other, "_akas", page_size)
+    akas, more_akas = paged_lists(aka_rows, "tconst", other, "_akas", page_size, largest=aka_size)
 
     cast = cast if more_cast is None else cast.unionByName(more_cast)
     akas = akas if more_akas is None else akas.unionByName(more_akas)

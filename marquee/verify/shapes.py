@@ -6,12 +6,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marquee.functions import columns as X
 
 
+# Schemas already read from file footers, by path.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _key(prefix: str, number: Column) -> Column:
