@@ -9,21 +9,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}')"
 
-# The targets of the mix; which documents it takes is seeded, so only the deterministic columns have a twin in the tests.
-TARGETS = f"""
-with d as (
-  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{NOT_SPACE}'))::bigint as size from documents
-), s as (
-  select source, sum(size)::bigint as source_size,
-         [5.0::double, 2.0::double, 1.0::double][1 + (row_number() over (order by source nulls last) - 1)::int % 3] as weight
-  from d group by source
-), level as (
-  select *, 2 * source_size as cap, sum(2 * source_size) over w - 2 * source_size as cap_before,
-         sum(weight) over () - (sum(weight) over w - weight) as weight_left,
-         1.5 * sum(source_size) over () as budget
-  from s window w as (order by 2 * source_size / weight, source nulls last)
-)
-select source, source_size, weight, cap, weight_left, budget - cap_before as left_over from level
+# Which documents a mix takes is seeded; its source sizes have a twin, used in the tests.
+SOURCE_SIZES = f"""
+select source, sum(len(regexp_extract_all(coalesce(text, ''), '{NOT_SPACE}')))::bigint as source_size
+from documents group by source order by source nulls last
 """
 
 ORACLE = {

@@ -57,7 +57,7 @@ def features(text: str | None, cache: dict) -> tuple[np.ndarray, np.ndarray]:
         at = cache.get(w)
         if at is None:
             at = zlib.crc32(w) & ((1 << HASH_BITS) - 1)
-            if len(cache) < 500_000:
+            if len(cache) < 100_000:
                 cache[w] = at
         buckets[i] = at
     values = np.log1p(np.fromiter(counted.values(), dtype=np.float64, count=len(counted)))

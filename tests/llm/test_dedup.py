@@ -67,7 +67,7 @@ def test_maintained_index(spark):
 # ---- line dedup
 
 def lines_brute(rows, run=3):
-    ordered = sorted({(i is None, i or 0, i, t) for i, t in rows if t is not None}, key=lambda x: (x[0], x[1], str(xx(x[3]))))
+    ordered = sorted({(i is None, i or 0, i, t) for i, t in rows if t is not None}, key=lambda x: (x[0], x[1], x[3]))
     first, result = {}, {}
     for *_, i, t in ordered:
         lines, gone = t.split("\n"), set()
@@ -80,10 +80,6 @@ def lines_brute(rows, run=3):
     return sorted([(i, *result.get((i, t), (None, 0, 0, 0))) for i, t in rows], key=str)
 
 
-def xx(text):
-    return text
-
-
 @pytest.mark.parametrize("table", ["odd", "given", "none"])
 def test_line_dedup(table, request):
     docs = request.getfixturevalue(table)
