@@ -295,7 +295,7 @@ def _by_doubling(names: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]
     """Order of the suffixes of a short text up to ``depth`` names, and their common prefixes."""
     rank, levels, width, n = names.astype(np.int64), [], 1, len(names)
     while True:
-        levels.append(rank)
+        levels.append(rank.astype(np.int32) if n < NO_LIMIT else rank)
         if width >= depth or rank.max() == n - 1:
             break
         behind = np.zeros(n, dtype=np.int64)

@@ -23,8 +23,9 @@ from marquee.llm.induced import repeated_starts
 
 MIN_MATCH = 400
 ANCHOR = 64
-CHUNK = 1 << 21
-SHARD_BUDGET = 192 << 20
+CHUNK = 1 << 20
+SHARD_BYTES = 1 << 21       # text of one suffix sort, if its pieces allow
+SHARD_BUDGET = 128 << 20    # memory of one suffix sort before its queue and runs go to disk
 _POSITION_BITS = 22
 
 
@@ -157,36 +158,48 @@ def _cut_out(match: int):
     return run
 
 
-def _sort_shard(match: int, budget: int):
-    """Repeated strings of one shard: every segment is laid into one text, whose suffixes are sorted."""
+def _repeated_in(names: list[tuple], parts: list[np.ndarray], match: int, budget: int) -> pa.RecordBatch:
+    """Ranges of repeated strings in the segments of one shard, laid into one text whose suffixes are sorted."""
+    sizes = np.array([len(p) for p in parts])
+    starts = np.concatenate([[0], np.cumsum(sizes + 1)])
+    text = np.zeros(starts[-1] + 1, dtype=np.uint16)  # 0 ends the text, 1 a segment, bytes follow from 2
+    for a, p in zip(starts.tolist(), parts):
+        text[a:a + len(p)] = p
+        text[a:a + len(p)] += 2
+        text[a + len(p)] = 1
+    flags = repeated_starts(text, 258, match, budget)
+    out: list[tuple] = []
+    for k, (name, size) in enumerate(zip(names, sizes.tolist())):
+        for a, b in _runs(flags[starts[k]:starts[k] + size - match + 1]):
+            out.append((*name[:2], name[2] + a, name[2] + b + match - 1))
+    return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(4)],
+                                      names=["doc_id", "text_key", "a", "b"])
+
+
+def _sort_shard(match: int, shard_bytes: int, budget: int):
+    """Repeated strings of a partition that is sorted by piece.
+
+    Whole pieces are taken together until a shard holds ``shard_bytes``; a piece that holds more by itself is one
+    shard, which the induction sorts beyond the memory budget.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, names, parts, sizes = set(), [], [], []
+        seen, names, parts, held, last = set(), [], [], 0, None
         for batch in batches:
-            ids, keys, firsts = (batch.column(i).to_pylist() for i in (1, 2, 3))
+            pieces, ids, keys, firsts = (batch.column(i).to_pylist() for i in range(4))
             data, bounds = _texts(batch.column(4))
             for i, name in enumerate(zip(ids, keys, firsts)):
+                if pieces[i] != last:
+                    last = pieces[i]
+                    if held >= shard_bytes:
+                        yield _repeated_in(names, parts, match, budget)
+                        seen, names, parts, held = set(), [], [], 0
                 if name not in seen:  # a row that is there twice is one place here; its copies count as whole segments
                     seen.add(name)
                     names.append(name)
                     parts.append(data[bounds[i]:bounds[i + 1]].copy())
-                    sizes.append(len(parts[-1]))
-        if not parts:
-            return
-        starts = np.concatenate([[0], np.cumsum(np.array(sizes) + 1)])
-        text = np.zeros(starts[-1] + 1, dtype=np.uint16)  # 0 ends the text, 1 a segment, bytes follow from 2
-        for a, p in zip(starts.tolist(), parts):
-            text[a:a + len(p)] = p
-            text[a:a + len(p)] += 2
-            text[a + len(p)] = 1
-        parts.clear()
-        flags = repeated_starts(text, 258, match, budget)
-        out: list[tuple] = []
-        for k, (name, size) in enumerate(zip(names, sizes)):
-            mine = flags[starts[k]:starts[k] + size - match + 1]
-            for a, b in _runs(mine):
-                out.append((*name[:2], name[2] + a, name[2] + b + match - 1))
-        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.int64()) for i in range(4)],
-                                         names=["doc_id", "text_key", "a", "b"])
+                    held += len(parts[-1])
+        if parts:
+            yield _repeated_in(names, parts, match, budget)
 
     return run
 
@@ -226,7 +239,7 @@ def byte_key(text: Column) -> Column:
 
 
 def repeated_spans(docs: DataFrame, match: int = MIN_MATCH, anchor: int = ANCHOR, chunk: int = CHUNK,
-                   budget: int = SHARD_BUDGET) -> DataFrame:
+                   shard_bytes: int = SHARD_BYTES, budget: int = SHARD_BUDGET) -> DataFrame:
     """(doc_id, text_key, a, b): byte ranges covered by strings of ``match`` bytes that also start elsewhere."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), byte_key(F.col("text")).alias("text_key"), "text")
     filed = rows.mapInArrow(_file_segments(match, anchor, chunk), SEGMENT)
@@ -245,19 +258,20 @@ def repeated_spans(docs: DataFrame, match: int = MIN_MATCH, anchor: int = ANCHOR
     cut = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_key"] == wanted["text_key"])).select(
         rows["doc_id"], rows["text_key"], "text", "segs")
     cut = cut.mapInArrow(_cut_out(match), "piece long, doc_id long, text_key long, first long, raw binary")
-    sorted_spans = cut.repartition("piece").mapInArrow(_sort_shard(match, budget), "doc_id long, text_key long, a long, b long")
+    sorted_spans = cut.repartition("piece").sortWithinPartitions("piece").mapInArrow(
+        _sort_shard(match, shard_bytes, budget), "doc_id long, text_key long, a long, b long")
     return whole.unionByName(sorted_spans)
 
 
 def dedup_substrings(docs: DataFrame, match: int = MIN_MATCH, anchor: int = ANCHOR, chunk: int = CHUNK,
-                     budget: int = SHARD_BUDGET) -> DataFrame:
+                     shard_bytes: int = SHARD_BYTES, budget: int = SHARD_BUDGET) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, spans (removed byte ranges, merged) and kept (what remains).
 
     Reads ``doc_id`` and ``text``; other columns are ignored. Texts are UTF-8 bytes, a null one is empty; a removed
     range may cut a character, so ``kept`` is binary. Texts shorter than ``match`` stay as they are. Rows that
     repeat an id and a text are copies of each other. An empty table gives an empty result.
     """
-    spans = (repeated_spans(docs, match, anchor, chunk, budget).groupBy("doc_id", "text_key")
+    spans = (repeated_spans(docs, match, anchor, chunk, shard_bytes, budget).groupBy("doc_id", "text_key")
              .agg(F.collect_set(F.struct("a", "b")).alias("spans")))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), byte_key(F.col("text")).alias("text_key"), "text")
     marked = rows.join(spans, rows["doc_id"].eqNullSafe(spans["doc_id"]) & (rows["text_key"] == spans["text_key"]), "left")
