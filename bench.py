@@ -81,14 +81,10 @@ def main() -> None:
         times["catalogue_load_star"] = timed(lambda: publish.publish(
             spark, root, lambda store: N.build_star(staging, store=store), write=layout.write_star), 1)
 
-        def load_documents() -> None:
-            built = D.build_documents(staging)
-            layout.write_sorted(built["titles"], f"{docs}/titles", ["titleType", "tconst"])
-            layout.write_sorted(built["people"], f"{docs}/people", ["primaryName", "nconst"])
-
-        times["catalogue_load_documents"] = timed(load_documents, 1)
-        star = publish.current(spark, root)
-        titles, people = spark.read.parquet(f"{docs}/titles"), spark.read.parquet(f"{docs}/people")
+        times["catalogue_load_documents"] = timed(lambda: publish.publish(
+            spark, docs, lambda store: D.build_documents(staging, store=store), write=layout.write_documents), 1)
+        star, stored = publish.current(spark, root), publish.current(spark, docs)
+        titles, people = stored["titles"], stored["people"]
         queries = {
             "director_info": lambda: directors.director_info(star, R.DIRECTOR),
             "director_movies": lambda: directors.director_movies(star, R.DIRECTOR),
@@ -98,6 +94,8 @@ def main() -> None:
             "top_rated_details": lambda: films.top_rated_details(titles, people),
             "top_directors": lambda: films.top_directors(titles, people),
             "top_actors": lambda: films.top_actors(titles, people),
+            "film_card": lambda: films.film_card(stored, R.PHRASE),
+            "film_search": lambda: films.film_search(stored, "may specified"),
         }
         for name, build in queries.items():
             drain(build())

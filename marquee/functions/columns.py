@@ -183,9 +183,9 @@ def readable_size(n: Column) -> Column:
 
 
 def size_to_bytes(text: Column) -> Column:
-    """``24.1GB``, ``28.5MB``, ``512B`` to bytes."""
-    pattern = r"([0-9]+(?:\.[0-9]+)?)\s*([KMGTP]?)B"
-    number, unit = F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 2)
+    """``24.1GB``, ``28.5 MB``, ``9 kB``, ``512B`` and ``512 bytes`` to bytes."""
+    pattern = r"([0-9]+(?:\.[0-9]+)?)\s*([KkMGTP]?)(?:B|bytes)"
+    number, unit = F.regexp_extract(text, pattern, 1), F.upper(F.regexp_extract(text, pattern, 2))
     factor = F.lit(1.0)
     for i, letter in enumerate("KMGTP", start=1):
         factor = F.when(unit == letter, float(1024**i)).otherwise(factor)

@@ -27,23 +27,16 @@ def normalise_term(text: str) -> str:
 
 
 def phrase_match(c: Column, phrase: str) -> Column:
-    """The whole phrase, bounded by word ends."""
-    return F.contains(normalise(c), F.lit(f" {normalise_term(phrase)} "))
-
-
-def _words(c: Column) -> Column:
-    return F.array_remove(F.split(normalise(c), " "), "")
-
-
-def tokens(c: Column) -> Column:
-    """Distinct words of a text."""
-    return F.array_distinct(_words(c))
+    """The whole phrase, bounded by word ends. A phrase without letters or digits matches nothing."""
+    term = normalise_term(phrase)
+    return F.contains(normalise(c), F.lit(f" {term} ")) if term else F.lit(False)
 
 
 def token_score(c: Column, query: str) -> Column:
     """How many distinct words of the query the text holds."""
     words = sorted(set(normalise_term(query).split()))
-    return F.size(F.array_intersect(tokens(c), F.array(*[F.lit(w) for w in words])))
+    text = normalise(c)
+    return sum((F.contains(text, F.lit(f" {w} ")).cast("int") for w in words), F.lit(0))
 
 
 # Overlapping triples that start at a word's padding or inside a word, never behind its end.

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from marquee.functions import columns as X
 from marquee.operators.ordered import within
-from marquee.operators.skew import GROUP_LIMIT, broadcast_if_small
 from marquee.operators.upsert import upsert_replace
 from marquee.schemas import CATALOGUE_FIELDS
 
@@ -52,11 +51,11 @@ def older_form(pairs: DataFrame) -> DataFrame:
     )
 
 
-def listing(catalogue: DataFrame, group: list[str] | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+def listing(catalogue: DataFrame, group: list[str] | None = None, slices: int | None = None) -> DataFrame:
     """Numbered records in key order, the location cut to its last 17 characters."""
     dated = catalogue.withColumn("_at", X.stamp_to_timestamp(X.key_stamp(F.col("key"))))
     order = ["_at", "key", *[c for c in ("stanza", "direccion_almacenamiento") if c not in (group or [])]]
-    numbered = within(dated, group or [], order, number="n", limit=limit)
+    numbered = within(dated, group or [], order, number="n", slices=slices)
     return numbered.select(
         *(group or []), "n", "fecha", "hora", F.col("tipo_backup").alias("tipo"),
         F.col("maestro_usado").alias("maestro"), X.tail(F.col("direccion_almacenamiento"), 17).alias("ubicacion"),
@@ -97,20 +96,20 @@ def retention(
         .withColumn("_r", F.row_number().over(newest)).filter(F.col("_r") <= keep_full)
     )
     cut = fulls.groupBy(group).agg(F.min(ts).alias("_cut"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == keep_full)
-    joined = snapshots.join(broadcast_if_small(cut.select(group, "_cut")), group, "left")
+    joined = snapshots.join(cut.select(group, "_cut"), group, "left")
     # With fewer fulls than asked for, nothing expires.
     return joined.withColumn("keep", F.coalesce(F.col(ts) >= F.col("_cut"), F.lit(True))).drop("_cut")
 
 
 def bases(
     snapshots: DataFrame, group: str = "stanza", kind: str = "type", ts: str = "ts", label: str = "label",
-    limit: int = GROUP_LIMIT,
+    slices: int | None = None,
 ) -> DataFrame:
     """What each snapshot builds on: an incremental on the one before it, a differential on the
     latest full, a full on nothing."""
     seen = within(
         snapshots, [group], [ts, label],
-        previous={"_any": F.col(label), "_full": F.when(F.col(kind) == "full", F.col(label))}, limit=limit,
+        previous={"_any": F.col(label), "_full": F.when(F.col(kind) == "full", F.col(label))}, slices=slices,
     )
     base = F.when(F.col(kind) == "incr", F.col("_any")).when(F.col(kind) == "diff", F.col("_full"))
     return seen.withColumn("base", base).drop("_any", "_full")
@@ -140,7 +139,7 @@ def log_events(lines: DataFrame) -> DataFrame:
     )
 
 
-def durations(lines: DataFrame, file: str = "file", order: list[str] | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+def durations(lines: DataFrame, file: str = "file", order: list[str] | None = None, slices: int | None = None) -> DataFrame:
     """Seconds between each start line and the next line of its file and type, when that is an end.
 
     A start followed by another start has no duration.
@@ -149,7 +148,7 @@ def durations(lines: DataFrame, file: str = "file", order: list[str] | None = No
     events = log_events(lines).filter("kind is not null")
     paired = within(
         events, [file, "type"], order,
-        following={"_next": F.struct(F.col("kind").alias("kind"), F.col("ts").alias("ts"))}, limit=limit,
+        following={"_next": F.struct(F.col("kind").alias("kind"), F.col("ts").alias("ts"))}, slices=slices,
     )
     done = F.col("_next.kind") == "end"
     return paired.filter("kind = 'start'").select(
@@ -159,7 +158,7 @@ def durations(lines: DataFrame, file: str = "file", order: list[str] | None = No
     )
 
 
-def report_snapshots(lines: DataFrame, order: list[str], group: list[str] | None = None, limit: int = GROUP_LIMIT) -> DataFrame:
+def report_snapshots(lines: DataFrame, order: list[str], group: list[str] | None = None, slices: int | None = None) -> DataFrame:
     """Snapshots of a repository report (column ``value``): type, label, start, stop, sizes.
 
     Attribute lines belong to the last ``full|incr|diff backup:`` line above them.
@@ -167,7 +166,7 @@ def report_snapshots(lines: DataFrame, order: list[str], group: list[str] | None
     group = group or []
     head = r"^\s*(full|incr|diff) backup:\s*(\S+)"
     label = F.nullif(F.regexp_extract("value", head, 2), F.lit(""))
-    owned = within(lines, group, order, previous={"_above": label}, limit=limit)
+    owned = within(lines, group, order, previous={"_above": label}, slices=slices)
     span = r"timestamp start/stop:\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})\s*/\s*(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})"
 
     def taken(pattern: str, i: int) -> Column:
@@ -178,6 +177,6 @@ def report_snapshots(lines: DataFrame, order: list[str], group: list[str] | None
         taken(head, 1).alias("type"),
         taken(span, 1).cast("timestamp").alias("start"),
         taken(span, 2).cast("timestamp").alias("stop"),
-        X.size_to_bytes(taken(r"database size:\s*([0-9.]+\s*[KMGTP]?B)", 1)).alias("database_bytes"),
-        X.size_to_bytes(taken(r"repo1:.*?backup size:\s*([0-9.]+\s*[KMGTP]?B)", 1)).alias("backup_bytes"),
+        X.size_to_bytes(taken(r"database size:\s*([0-9.]+\s*[KkMGTP]?B)", 1)).alias("database_bytes"),
+        X.size_to_bytes(taken(r"repo1:.*?backup size:\s*([0-9.]+\s*[KkMGTP]?B)", 1)).alias("backup_bytes"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as X
+from marquee.operators.upsert import one_per_key
 from marquee.schemas import TITLE_TYPES
 
 
@@ -23,8 +24,11 @@ def _title_type(raw: Column, keep_all_types: bool) -> Column:
 
 
 def clean_titles(basics: DataFrame, keep_all_types: bool = False) -> DataFrame:
-    """Titles of the allowed types. ``keep_all_types`` matches the list without regard to case."""
-    return (
+    """Titles of the allowed types. ``keep_all_types`` matches the list without regard to case.
+
+    Here and below, a key that stands twice among the kept rows raises, as it would in an upsert.
+    """
+    kept = (
         basics.filter(X.has_key(F.col("tconst")))
         .select(
             "tconst",
@@ -38,11 +42,12 @@ def clean_titles(basics: DataFrame, keep_all_types: bool = False) -> DataFrame:
         )
         .filter(F.col("title_type").isNotNull())
     )
+    return one_per_key(kept, ["tconst"])
 
 
 def clean_people(names: DataFrame) -> DataFrame:
     """People with a name."""
-    return (
+    kept = (
         names.filter(X.has_key(F.col("nconst")))
         .select(
             "nconst",
@@ -52,11 +57,12 @@ def clean_people(names: DataFrame) -> DataFrame:
         )
         .filter(F.col("primary_name").isNotNull())
     )
+    return one_per_key(kept, ["nconst"])
 
 
 def clean_ratings(ratings: DataFrame, titles: DataFrame) -> DataFrame:
     """Ratings of kept titles. Text that is no number raises."""
-    return (
+    kept = (
         ratings.filter(X.has_key(F.col("tconst")))
         .join(titles.select("tconst"), "tconst", "left_semi")
         .select(
@@ -65,6 +71,7 @@ def clean_ratings(ratings: DataFrame, titles: DataFrame) -> DataFrame:
             F.col("numvotes").cast("bigint").alias("num_votes"),
         )
     )
+    return one_per_key(kept, ["tconst"])
 
 
 def key_range(df: DataFrame, key: str, low: str, high: str | None = None) -> DataFrame:

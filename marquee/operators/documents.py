@@ -1,17 +1,20 @@
 """Nested title, people and aka documents.
 
-A title is one row (``page`` 0) holding rating, crew, episode fields and up to PAGE_SIZE principals;
-a title with more principals has further rows, pages 1, 2, ..., with the same title fields and the
-rest of its principals. Title-level questions read page 0, principal-level ones read every page.
+The key of a title document is (tconst, page). Page 0 exists for every title and holds the principals
+of the orderings 1 to PAGE_SIZE; page 1 those of the next PAGE_SIZE orderings, and so on, each with
+the same title fields. Title-level questions read page 0, principal-level ones read every page.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as X
-from marquee.operators.skew import PAGE_SIZE, broadcast_if_small, paged_lists
+from marquee.operators.skew import PAGE_SIZE, paged_lists
+from marquee.operators.upsert import collapse_last_non_null
 
 
 def title_base(basics: DataFrame) -> DataFrame:
@@ -89,8 +92,7 @@ def principal_struct(characters: str = "json") -> Column:
 def embed(titles: DataFrame, part: DataFrame) -> DataFrame:
     """Attach a one-to-one part; parts without a title are left out, titles without a part keep NULL.
 
-    ``part`` has at most one row per tconst; a file that repeats keys goes through
-    ``upsert.collapse_last_non_null`` first.
+    ``part`` has at most one row per tconst (see ``loaded``).
     """
     return titles.join(part, "tconst", "left")
 
@@ -98,33 +100,38 @@ def embed(titles: DataFrame, part: DataFrame) -> DataFrame:
 def embed_principals(
     titles: DataFrame, principals: DataFrame, characters: str = "json", page_size: int = PAGE_SIZE
 ) -> DataFrame:
-    """Attach the cast arrays, paged for titles with more than ``page_size`` principals."""
+    """Attach the cast arrays, in billing order, one row per title and page."""
     rows = principals.filter(F.col("tconst").isNotNull())
-    first, more = paged_lists(rows, "tconst", principal_struct(characters), "principals", page_size)
-    base = titles.join(first.select("tconst", "principals"), "tconst", "left")
-    out = base.withColumn("page", F.lit(0).cast("bigint"))
-    if more is not None:
-        # Further pages exist only for large titles, so the title side of this join is small.
-        large = broadcast_if_small(titles.join(broadcast_if_small(more.select("tconst").distinct()), "tconst",
-                                               "left_semi"))
-        out = out.unionByName(more.join(large, "tconst").select(*titles.columns, "principals", "page"))
-    empty = F.array().cast("array<struct<ordering:int,nconst:string,category:string,job:string,"
-                           "characters:array<string>>>")
-    return out.withColumn("principals", F.coalesce("principals", empty))
-
-
-def build_documents(staging: dict[str, DataFrame], characters: str = "json") -> dict[str, DataFrame]:
-    """The three document collections as lazy frames."""
-    titles = title_base(staging["title_basics"])
-    titles = embed(titles, rating_part(staging["title_ratings"]))
-    titles = embed(titles, crew_part(staging["title_crew"]))
-    titles = embed(titles, episode_part(staging["title_episode"]))
-    titles = embed_principals(titles, staging["title_principals"], characters)
-    return {
-        "titles": titles,
-        "people": people_docs(staging["name_basics"]),
+    place = X.digits_or_null(F.col("ordering"), "int")
+    pages = paged_lists(rows, "tconst", place, principal_struct(characters), "principals", page_size, heads=titles)
+    return titles.join(pages, "tconst")
+
+
+def loaded(raw: DataFrame, key: str) -> DataFrame:
+    """One row per key, as an upsert by key leaves it: what is loaded twice is there once, and per column
+    the greatest value stays (a distributed read has no file order). Rows without a key go."""
+    return collapse_last_non_null(raw.filter(F.col(key).isNotNull()), [key], [])
+
+
+def build_documents(
+    staging: dict[str, DataFrame], characters: str = "json", page_size: int = PAGE_SIZE,
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
+) -> dict[str, DataFrame]:
+    """The three document collections: lazy frames, or written tables with ``store`` (name, frame -> table).
+
+    Titles, people and the one-to-one parts are upserted by key; principals and alternative titles
+    are one-to-many and keep all their rows.
+    """
+    titles = title_base(loaded(staging["title_basics"], "tconst"))
+    titles = embed(titles, rating_part(loaded(staging["title_ratings"], "tconst")))
+    titles = embed(titles, crew_part(loaded(staging["title_crew"], "tconst")))
+    titles = embed(titles, episode_part(loaded(staging["title_episode"], "tconst")))
+    built = {
+        "titles": embed_principals(titles, staging["title_principals"], characters, page_size),
+        "people": people_docs(loaded(staging["name_basics"], "nconst")),
         "akas": aka_docs(staging["title_akas"]),
     }
+    return {name: store(name, df) for name, df in built.items()} if store else built
 
 
 def to_json_records(df: DataFrame) -> DataFrame:

@@ -4,36 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as X
 from marquee.operators.clean import clean_people, clean_ratings, clean_titles
+from marquee.operators.ordered import within
 from marquee.operators.upsert import first_per_key
 
-
-# Ids are SMALLINT.
-MAX_DIMENSION = 32_767
-
-
 def _dimension(values: DataFrame, id_name: str, value_name: str) -> DataFrame:
-    """Distinct values numbered in name order.
-
-    Ids are SMALLINT, so a dimension holds at most 32,767 values. One value more is let through to
-    be numbered, where its cast raises; no task and no broadcast ever sees a longer list.
-    """
-    numbered = F.row_number().over(Window.orderBy(value_name)).cast("smallint")
-    return values.distinct().limit(MAX_DIMENSION + 1).select(numbered.alias(id_name), value_name)
+    """Distinct values numbered in name order, however many there are."""
+    numbered = within(values.filter(F.col(value_name).isNotNull()).distinct(), [], [value_name], number=id_name)
+    return numbered.select(F.col(id_name).cast("int").alias(id_name), value_name)
 
 
 def with_dimension_id(rows: DataFrame, dimension: DataFrame, id_name: str, value_name: str, column: str) -> DataFrame:
     """Replace the text in ``column`` by its dimension id; rows with an unknown value are dropped.
 
-    The dimension is bounded by its SMALLINT ids, so it is sent to the rows and a frequent value
-    needs no shuffle.
+    How the two meet follows their sizes: a short dimension is sent to the rows, a long one is
+    shuffled, with frequent values split.
     """
     ids = dimension.select(id_name, F.col(value_name).alias(column))
-    return rows.join(F.broadcast(ids), column).drop(column)
+    return rows.join(ids, column).drop(column)
 
 
 def genres_dim(basics: DataFrame) -> DataFrame:

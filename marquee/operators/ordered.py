@@ -1,37 +1,25 @@
-"""Previous value, next value and row number within ordered groups, safe for hot groups.
+"""Previous value, next value and row number within ordered groups, whatever the size of a group.
 
-A group within the limit is one ordinary window partition. When a group exceeds it, rows are cut
-into slices at quantiles of the first order column, windows run per (group, slice), and one summary
-row per (group, slice) carries the state across slices. Both ways give the same values.
+Rows are dealt to slices by ranges of the whole order (group first), so a slice holds a bounded
+share of the table even where one group, or one value of the first order column, fills most of it.
+Windows run within a slice, and one summary row per slice and group carries the state across slices.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.operators.skew import GROUP_LIMIT, group_sizes
 
-MAX_SLICES = 4096
+def _sliced(df: DataFrame, group: list[str], order: list[str], slices: int | None) -> DataFrame:
+    """``df`` with ``_slice``, the number of the range its row falls into.
 
-
-def _descending(cols: list[str]) -> list[Column]:
-    return [F.col(c).desc() for c in cols]
-
-
-def _ascending(cols: list[str]) -> list[Column]:
-    return [F.col(c).asc() for c in cols]
-
-
-def _add_slices(df: DataFrame, col: str, rows: int, limit: int) -> DataFrame:
-    """Add ``_slice``, the quantile range that the numeric column ``col`` falls into."""
-    n = max(2, min(MAX_SLICES, -(-4 * rows // limit)))
-    cuts = sorted(set(df.approxQuantile(col, [i / n for i in range(1, n)], 1 / (4 * n))))
-    if not cuts:
-        return df.withColumn("_slice", F.lit(0.0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol=col, outputCol="_slice", handleInvalid="keep").transform(df)
+    The ranges are drawn when the frame is first used. It is read twice, so it is kept: ranges drawn
+    a second time could differ. A part lost with its executor is dealt again by the same ranges.
+    """
+    by = [*[F.col(g) for g in group], *[F.col(c) for c in order]]
+    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
+    return ranged.withColumn("_slice", F.spark_partition_id()).persist()
 
 
 def within(
@@ -41,7 +29,7 @@ def within(
     previous: dict[str, Column] | None = None,
     following: dict[str, Column] | None = None,
     number: str | None = None,
-    limit: int = GROUP_LIMIT,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add columns to ``df``:
 
@@ -49,56 +37,43 @@ def within(
     ``following[name]`` = first non-null value over the rows after this one,
     ``number``          = position within the group, from 1.
 
-    ``order`` must order the rows of a group totally; its first column must be numeric or a
-    timestamp and without NULLs, with no single value holding most of a group.
+    ``order`` orders the rows of a group totally; ``slices`` sets the number of ranges (default:
+    the session's shuffle partitions). Nothing runs before the result is used.
     """
     previous, following = previous or {}, following or {}
     base = df
     for name, value in {**previous, **following}.items():
         base = base.withColumn(f"_v_{name}", value)
+    base = _sliced(base, group, order, slices)
+    keys = ["_slice", *group]
 
-    keys = list(group)
-    largest, rows = group_sizes(df, group)
-    sliced = largest > limit
-    if sliced:
-        position = F.col(order[0])
-        if dict(df.dtypes)[order[0]].startswith("timestamp"):
-            position = F.unix_micros(position.cast("timestamp"))
-        base = _add_slices(base.withColumn("_pos", position.cast("double")), "_pos", rows, limit)
-        keys = [*group, "_slice"]
-
-    before = Window.partitionBy(*keys).orderBy(*_ascending(order)).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*keys).orderBy(*_descending(order)).rowsBetween(Window.unboundedPreceding, -1)
+    up = Window.partitionBy(*keys).orderBy(*[F.asc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     out = base
     for name in previous:
-        out = out.withColumn(name, F.last(f"_v_{name}", ignorenulls=True).over(before))
+        out = out.withColumn(name, F.last(f"_v_{name}", ignorenulls=True).over(up))
     for name in following:
-        out = out.withColumn(name, F.last(f"_v_{name}", ignorenulls=True).over(after))
+        out = out.withColumn(name, F.last(f"_v_{name}", ignorenulls=True).over(down))
     if number:
-        out = out.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(*_ascending(order))))
+        out = out.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.asc(c) for c in order])))
 
-    if sliced:
-        rank = F.struct(*order)
-        sums = [F.count(F.lit(1)).alias("_rows")]
-        for name in previous:
-            v = F.col(f"_v_{name}")
-            sums.append(F.max_by(v, F.when(v.isNotNull(), rank)).alias(f"_c_{name}"))
-        for name in following:
+    rank = F.struct(*order)
+    sums = [F.count(F.lit(1)).alias("_rows")]
+    for names, pick in ((previous, F.max_by), (following, F.min_by)):
+        for name in names:
             v = F.col(f"_v_{name}")
-            sums.append(F.min_by(v, F.when(v.isNotNull(), rank)).alias(f"_c_{name}"))
-        carry = base.groupBy(*keys).agg(*sums)
-        up = Window.partitionBy(*group).orderBy(F.asc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-        down = Window.partitionBy(*group).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
-        cols = [F.coalesce(F.sum("_rows").over(up), F.lit(0)).alias("_offset")]
-        cols += [F.last(f"_c_{n}", ignorenulls=True).over(up).alias(f"_b_{n}") for n in previous]
-        cols += [F.last(f"_c_{n}", ignorenulls=True).over(down).alias(f"_b_{n}") for n in following]
-        carry = carry.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *cols)
-        on = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
-        out = out.join(carry, on, "left")
-        for name in [*previous, *following]:
-            out = out.withColumn(name, F.coalesce(F.col(name), F.col(f"_b_{name}")))
-        if number:
-            out = out.withColumn(number, (F.col(number) + F.col("_offset")))
+            sums.append(pick(v, F.when(v.isNotNull(), rank)).alias(f"_c_{name}"))
+    # One row per slice and group: a group that spans many slices has as many, the others one or two.
+    carry = base.groupBy(*keys).agg(*sums)
+    before = Window.partitionBy(*group).orderBy(F.asc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    behind = Window.partitionBy(*group).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    cols = [F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")]
+    cols += [F.last(f"_c_{n}", ignorenulls=True).over(before).alias(f"_b_{n}") for n in previous]
+    cols += [F.last(f"_c_{n}", ignorenulls=True).over(behind).alias(f"_b_{n}") for n in following]
+    carry = carry.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *cols)
+    out = out.join(carry, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys], "left")
+    for name in [*previous, *following]:
+        out = out.withColumn(name, F.coalesce(F.col(name), F.col(f"_b_{name}")))
     if number:
-        out = out.withColumn(number, F.col(number).cast("bigint"))
+        out = out.withColumn(number, (F.col(number) + F.col("_offset")).cast("bigint"))
     return out.select(*df.columns, *previous, *following, *([number] if number else []))

@@ -1,12 +1,11 @@
-"""Title and name search. Each works row by row inside the scan stage; nothing is paired up."""
+"""Title and name search."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import text as X
-from marquee.operators.skew import BROADCAST_ROWS, keep
 
 
 def phrase_search(df: DataFrame, column: str, phrase: str) -> DataFrame:
@@ -32,40 +31,23 @@ def similar(df: DataFrame, column: str, term: str, threshold: float = 0.3, score
 
 def similar_to_terms(
     df: DataFrame, key: str, column: str, terms: DataFrame, term: str, threshold: float = 0.3,
-    max_terms: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Match each row's text against a bounded list of search terms by trigram similarity.
+    """Match each row's text against search terms by trigram similarity.
 
-    ``terms`` is checked against ``max_terms`` and broadcast, so the table is never shuffled by
-    trigram and a frequent trigram gathers nothing. A text as similar as ``threshold`` (above 0) to
-    a term with n trigrams shares at least threshold * n of them, so it holds one of any
-    n - ceil(threshold * n) + 1. The rarest ones find the candidates, whose similarity is then
-    computed in full. ``key`` identifies a row. Result: key, column, term, similarity.
+    Texts meet terms in the trigrams they share, by equality. The shared ones of a row and a term are
+    counted before the shuffle (the trigrams of a row lie in one task), and with the sizes of
+    both sets the count is the similarity. ``key`` identifies a row. Result: key, column, term, similarity.
     """
     if threshold <= 0:
         raise ValueError("threshold must be above 0")
-    # Kept once: the terms are used for counting, indexing and scoring.
-    wanted = keep(terms.select(F.col(term).alias("term")).distinct().limit(max_terms + 1), "terms")
-    if wanted.count() > max_terms:
-        raise ValueError(f"more than {max_terms} search terms; search in several calls")
-    wanted = wanted.withColumn("_tg", X.trigrams(F.col("term")))
-    grams = df.select(key, column, F.explode(X.trigrams(F.col(column))).alias("_gram"))
-
-    term_grams = wanted.select("term", F.size("_tg").alias("_tn"), F.explode("_tg").alias("_gram"))
-    known = F.broadcast(term_grams.select("_gram").distinct())
-    used = grams.join(known, "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("_df"))
-    rarest = Window.partitionBy("term").orderBy(F.coalesce("_df", F.lit(0)), "_gram")
-    # 1e-9 keeps a product such as 0.7 * 10 from rounding above the whole number it stands for.
-    needed = F.col("_tn") - F.ceil(F.col("_tn") * threshold - 1e-9) + 1
-    index = (
-        term_grams.join(F.broadcast(used), "_gram", "left")
-        .withColumn("_r", F.row_number().over(rarest)).filter(F.col("_r") <= needed).select("_gram", "term")
-    )
-    pairs = grams.join(F.broadcast(index), "_gram").select(key, column, "term").distinct()
-    both = pairs.join(F.broadcast(wanted), "term").withColumn("_g", X.trigrams(F.col(column)))
-    shared = F.size(F.array_intersect("_g", "_tg"))
-    similarity = shared / (F.size("_g") + F.size("_tg") - shared)
-    return both.select(key, column, "term", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
+    grams, wanted = X.trigrams(F.col(column)), X.trigrams(F.col("term"))
+    texts = df.select(key, column, grams.alias("_g")).select(key, column, F.size("_g").alias("_n"), F.explode("_g").alias("_gram"))
+    known = terms.select(F.col(term).alias("term")).distinct().select("term", wanted.alias("_g")).select(
+        "term", F.size("_g").alias("_m"), F.explode("_g").alias("_gram"))
+    shared = texts.join(known, "_gram").groupBy(key, "term", "_n", "_m").agg(
+        F.count(F.lit(1)).alias("_s"), F.first(column).alias(column))
+    similarity = F.col("_s") / (F.col("_n") + F.col("_m") - F.col("_s"))
+    return shared.select(key, column, "term", similarity.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
 def aka_lookup(titles: DataFrame, akas: DataFrame, title: str) -> DataFrame:

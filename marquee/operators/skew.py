@@ -1,8 +1,8 @@
-"""Bounds checks and the exact ways round a hot key.
+"""Arrays of bounded length per key.
 
 Reducing aggregates (count, max_by, min_by) need nothing from here: their map-side combine leaves
-one row per key and task. What needs care is work that keeps every row of a key: arrays per key
-and ordered windows per key. Those check the largest key first and split it when it is too big.
+one row per key and task. An array per key keeps every row of the key, so it is cut into pages by a
+rule that looks at the element alone.
 """
 
 from __future__ import annotations
@@ -10,95 +10,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.session import shared_path
-
-# Rows one task may hold for one key.
-GROUP_LIMIT = 1_000_000
-# Elements one nested array may hold; the rest of a key goes to further pages.
+# Places of an ordering that one nested array covers.
 PAGE_SIZE = 10_000
-# Rows a side may have to be sent to every executor.
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when a bounded count shows it is small; otherwise leave the join to AQE."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows of the most frequent key and of the whole frame. Two numbers reach the driver."""
-    if not keys:
-        rows = df.count()
-        return rows, rows
-    top, rows = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    return top or 0, rows or 0
 
 
-def keep(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that several uses compute it once.
+def page_of(ordering: Column, page_size: int = PAGE_SIZE) -> Column:
+    """Page of an element: orderings 1..page_size lie on page 0, the next ones on page 1, and so on.
 
-    The copy outlives lost executors. Without a shared folder the frame itself is returned.
+    An element without a usable ordering (NULL or below 1) lies on page 0.
     """
-    spark = df.sparkSession
-    try:
-        path = shared_path(spark, label)
-    except ValueError:
-        return df
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    place = F.greatest(F.coalesce(ordering.cast("bigint"), F.lit(1)), F.lit(1)) - 1
+    return F.floor(place / page_size).cast("bigint")
 
 
 def paged_lists(
-    df: DataFrame, key: str, element: Column, name: str, page_size: int = PAGE_SIZE, counted: DataFrame | None = None,
-    largest: int | None = None,
-) -> tuple[DataFrame, DataFrame | None]:
-    """Collect ``element`` (a struct) per ``key`` into sorted arrays of bounded length.
+    df: DataFrame, key: str, ordering: Column, element: Column, name: str, page_size: int = PAGE_SIZE,
+    heads: DataFrame | None = None,
+) -> DataFrame:
+    """Collect ``element`` (a struct) into sorted arrays, one row per (``key``, ``page``).
 
-    Returns ``(first, more)``: ``first`` has one row per key (page 0), ``more`` the further pages of
-    keys with more than ``page_size`` rows, or None when no key is that large. Together the pages
-    hold every row, copies included. Columns: key, page, ``name``.
-
-    ``counted`` may name a cheaper frame with at least the rows of ``df`` per key, to find large keys;
-    ``largest`` a bound on the rows of any key that the caller already knows.
+    The page follows from the ordering, so neighbours stay neighbours and a key of any size is cut
+    alike. ``heads`` (a frame with ``key``) gives each of its keys a page 0, empty if need be.
     """
-    sizes = (
-        (df if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > page_size)
-    )
-
-    def collect(part: DataFrame) -> DataFrame:
-        # Rows travel as they are and become structs behind the shuffle: collecting first would
-        # only sort and copy arrays that no task can shorten.
-        near = part.repartition(key).select(F.col(key), element.alias("_e"))
-        return near.groupBy(key).agg(F.sort_array(F.collect_list("_e")).alias(name)).select(
-            key, F.lit(0).cast("bigint").alias("page"), name
-        )
-
-    if (largest is not None and largest <= page_size) or sizes.isEmpty():
-        return collect(df), None
-
-    large = broadcast_if_small(keep(sizes, "large-keys"))
-    small_rows = df.join(large.select(key), key, "left_anti")
-    hot_rows = df.select(F.col(key), element.alias("_e")).join(large.select(key), key, "left_semi")
-    # Copies of one element are counted before the shuffle, then cut into runs of at most a page.
-    # Pages follow the hash of (element, run), so they have about page_size elements each.
-    copies = hot_rows.groupBy(key, "_e").agg(F.count(F.lit(1)).alias("_c"))
-    runs = (
-        copies.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_c - 1) div {page_size}"))))
-        .withColumn("_k", F.least(F.lit(page_size), F.col("_c") - F.col("_run") * page_size).cast("int"))
-        .join(large, key)
-        .withColumn("page", F.pmod(F.xxhash64("_e", "_run"), F.ceil(F.col("_n") / page_size)))
-    )
-    hot = keep(
-        runs.groupBy(key, "page")
-        .agg(F.collect_list(F.struct("_e", "_k")).alias("_l"))
-        .select(
-            key, "page",
-            F.sort_array(F.flatten(F.transform("_l", lambda x: F.array_repeat(x["_e"], x["_k"])))).alias(name),
-        ),
-        "pages",
-    )
-    # Every large key keeps a page 0, also where no run hashed to it, so title-level work finds it.
-    page0 = large.select(key, F.lit(0).cast("bigint").alias("page")).join(hot.filter("page = 0"), [key, "page"], "left")
-    return collect(small_rows).unionByName(page0), hot.filter("page > 0")
+    rows = df.select(F.col(key), page_of(ordering, page_size).alias("page"), element.alias("_e"))
+    if heads is not None:
+        kind = rows.schema["_e"].dataType
+        rows = rows.unionByName(heads.select(key, F.lit(0).cast("bigint").alias("page"), F.lit(None).cast(kind).alias("_e")))
+    return rows.groupBy(key, "page").agg(F.sort_array(F.collect_list("_e")).alias(name))

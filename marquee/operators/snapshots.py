@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.skew import broadcast_if_small
 from marquee.operators.upsert import changed
 
 
@@ -69,24 +68,26 @@ def rebuild_log(log: DataFrame, keys: list[str], seq: str, until: Column | None
 
 
 def restore_chain(
-    catalogue: DataFrame, target: Column | None = None, group: str = "stanza", kind: str = "type", ts: str = "ts"
+    catalogue: DataFrame, target: Column | None = None, group: str = "stanza", kind: str = "type", ts: str = "ts",
+    label: str = "label",
 ) -> DataFrame:
     """Snapshots needed to restore each group at ``target`` (default: latest), with their role.
 
     The latest full not after the target, the latest differential behind it, then every
-    incremental behind the later of the two. Only per-group maxima are shuffled.
+    incremental behind the later of the two; of snapshots taken at one time the one with the
+    greatest label counts as the latest. Two passes of map-side combined maxima find the start of
+    each chain.
     """
     rows = catalogue if target is None else catalogue.filter(F.col(ts) <= target)
-    fulls = rows.filter(F.col(kind) == "full").groupBy(group).agg(F.max(ts).alias("_full"))
-    fulls = broadcast_if_small(fulls)
-    behind = rows.join(fulls, group).filter(F.col(ts) >= F.col("_full"))
-    diffs = behind.filter(F.col(kind) == "diff").groupBy(group).agg(F.max(ts).alias("_diff"))
-    chain = behind.join(broadcast_if_small(diffs), group, "left")
-    start = F.coalesce("_diff", "_full")
+    at = F.struct(F.col(ts).alias("ts"), F.col(label).alias("label"))
+    fulls = rows.filter(F.col(kind) == "full").groupBy(group).agg(F.max(at).alias("_full"))
+    behind = rows.join(fulls, group).filter(F.col(ts) >= F.col("_full.ts"))
+    diffs = behind.filter(F.col(kind) == "diff").groupBy(group).agg(F.max(at).alias("_diff"))
+    chain = behind.join(diffs, group, "left")
     role = (
-        F.when((F.col(kind) == "full") & (F.col(ts) == F.col("_full")), "full")
-        .when((F.col(kind) == "diff") & (F.col(ts) == F.col("_diff")), "diff")
-        .when((F.col(kind) == "incr") & (F.col(ts) > start), "incr")
+        F.when((F.col(kind) == "full") & (at == F.col("_full")), "full")
+        .when((F.col(kind) == "diff") & (at == F.col("_diff")), "diff")
+        .when((F.col(kind) == "incr") & (F.col(ts) > F.coalesce("_diff.ts", "_full.ts")), "incr")
     )
     return chain.withColumn("role", role).filter("role is not null").drop("_full", "_diff")
 
@@ -95,5 +96,5 @@ def restore_set(catalogue: DataFrame, label: str, label_column: str = "label", g
                 ts: str = "ts") -> DataFrame:
     """Chain of a named snapshot: the restore chain as of that snapshot's own time."""
     named = catalogue.filter(F.col(label_column) == label).groupBy(group).agg(F.max(ts).alias("_at"))
-    upto = catalogue.join(broadcast_if_small(named), group).filter(F.col(ts) <= F.col("_at")).drop("_at")
-    return restore_chain(upto, group=group, ts=ts)
+    upto = catalogue.join(named, group).filter(F.col(ts) <= F.col("_at")).drop("_at")
+    return restore_chain(upto, group=group, ts=ts, label=label_column)

@@ -28,6 +28,18 @@ def require_unique(df: DataFrame, keys: list[str], show: int = 20) -> DataFrame:
     return df
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df``, whose keys must be unique: a repeated key raises when the result is used.
+
+    The check is a filter, so it also holds where only the keys or a count are asked for.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*rest)).alias("_r"))
+    named = F.concat(F.lit(f"duplicate key on {', '.join(keys)}: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    single = grouped.filter(F.assert_true(F.col("_n") == 1, named).isNull())
+    return single.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the smallest by ``order``. Combines map-side, so a hot key is cheap."""
     rest = [c for c in df.columns if c not in keys]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import text as X
 from marquee.operators import documents as D
-from marquee.operators.skew import BROADCAST_ROWS, PAGE_SIZE, paged_lists
+from marquee.operators.skew import PAGE_SIZE, paged_lists
 
 ACTING = ["actor", "actress"]
 
@@ -21,46 +21,34 @@ def _title_rows(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("page") == 0) if "page" in docs.columns else docs
 
 
-def film_card(
-    staging: dict[str, DataFrame], phrase: str, characters: str = "json", page_size: int = PAGE_SIZE
-) -> DataFrame:
-    """The first film whose title holds the phrase: rating, directors, cast and other titles.
-
-    The film is chosen first and its key alone comes back; every lookup then filters by that key in
-    its scan, so nothing else of the catalogue is read, joined or embedded. Cast and other titles
-    come in pages of ``page_size``, usually one.
-    """
-    base = D.title_base(staging["title_basics"])
-    found = base.filter(X.phrase_match(F.col("primaryTitle"), phrase)).orderBy("tconst").limit(1).select("tconst").collect()
-    keys = [r["tconst"] for r in found] or [""]
-    people = D.people_docs(staging["name_basics"]).select("nconst", "primaryName")
+NO_NAMES = "array<string>"
 
-    def of_film(table: str, key: str = "tconst") -> DataFrame:
-        return staging[table].filter(F.col(key).isin(keys))
 
-    film = D.title_base(of_film("title_basics"))
-    film = D.embed(D.embed(film, D.rating_part(of_film("title_ratings"))), D.crew_part(of_film("title_crew")))
+def film_card(docs: dict[str, DataFrame], phrase: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """The first film whose title holds the phrase: rating, directors, cast and other titles.
 
-    credits = D.crew_part(of_film("title_crew")).select("tconst", F.col("crew.directors").alias("ids"))
-    directors = _names(credits, people, "directores", few=True)
+    ``docs`` holds the collections titles, people and akas. The film is chosen first; all lookups start
+    from its one key. Cast and other titles come in pages (of ``page_size`` orderings for the latter),
+    usually one; within a page both keep their order.
+    """
+    titles, people = docs["titles"], docs["people"].select("nconst", "primaryName")
+    film = _title_rows(titles).filter(X.phrase_match(F.col("primaryTitle"), phrase)).orderBy("tconst").limit(1)
+    key = F.broadcast(film.select("tconst"))  # one row
+    ids = film.select("tconst", F.col("crew.directors").alias("ids"))
+    directors = _names(ids, people, "directores", few=True)
 
-    cast_rows = of_film("title_principals").select("tconst", D.principal_struct(characters).alias("p")).select("tconst", "p.*")
-    cast_size, aka_size = of_film("title_principals").count(), of_film("title_akas", "titleid").count()
+    billed = titles.join(key, "tconst", "left_semi").select("tconst", "page", F.posexplode("principals").alias("pos", "p"))
     # The cast picks its people first: only those few take part in the outer join.
-    members = cast_rows.select("nconst").distinct()
-    members = F.broadcast(members) if cast_size <= BROADCAST_ROWS else members
-    cast_rows = cast_rows.join(people.join(members, "nconst", "left_semi"), "nconst", "left")
-    entry = F.struct("ordering", "nconst", "category", F.col("primaryName").alias("nombre_actor"),
-                     F.col("characters").alias("personajes"))
-    cast, more_cast = paged_lists(cast_rows, "tconst", entry, "_cast", page_size, largest=cast_size)
-    aka_rows = D.aka_docs(of_film("title_akas", "titleid")).withColumnRenamed("titleId", "tconst")
-    other = F.struct("ordering", F.col("title").alias("titulo"), "region")
-    akas, more_akas = paged_lists(aka_rows, "tconst", other, "_akas", page_size, largest=aka_size)
-
-    cast = cast if more_cast is None else cast.unionByName(more_cast)
-    akas = akas if more_akas is None else akas.unionByName(more_akas)
+    members = people.join(billed.select("p.nconst").distinct(), "nconst", "left_semi").withColumnRenamed("nconst", "_id")
+    entry = F.struct("pos", F.col("primaryName").alias("nombre_actor"), F.col("p.characters").alias("personajes"))
+    cast = billed.join(members, F.col("p.nconst") == F.col("_id"), "left").groupBy("tconst", "page").agg(
+        F.sort_array(F.collect_list(entry)).alias("_cast"))
+    other = docs["akas"].withColumnRenamed("titleId", "tconst").join(key, "tconst", "left_semi")
+    akas = paged_lists(other, "tconst", F.col("ordering"), F.struct("ordering", F.col("title").alias("titulo"), "region"), "_akas", page_size)
+
     lists = cast.join(akas, ["tconst", "page"], "full_outer")
-    out = film.join(directors, "tconst", "left").join(lists, "tconst", "left")
+    facts = film.select("tconst", "primaryTitle", "titleType", "startYear", "runtimeMinutes", "genres", "rating")
+    out = facts.join(directors, "tconst", "left").join(lists, "tconst", "left")
     return out.select(
         F.col("tconst"),
         F.coalesce("page", F.lit(0)).alias("page"),
@@ -70,7 +58,7 @@ def film_card(
         F.col("runtimeMinutes").alias("duracion_minutos"),
         F.col("genres").alias("generos"),
         F.struct(F.col("rating.average").alias("promedio"), F.col("rating.votes").alias("votos")).alias("rating"),
-        F.coalesce("directores", F.array().cast("array<string>")).alias("directores"),
+        F.coalesce("directores", F.array().cast(NO_NAMES)).alias("directores"),
         F.coalesce(
             F.transform("_cast", lambda p: F.struct(p["nombre_actor"].alias("nombre_actor"), p["personajes"].alias("personajes"))),
             F.array().cast("array<struct<nombre_actor:string,personajes:array<string>>>"),
@@ -82,6 +70,23 @@ def film_card(
     )
 
 
+def _staged(staging: dict[str, DataFrame], keys: DataFrame) -> dict[str, DataFrame]:
+    """Staging reduced to the titles of ``keys`` (one column, tconst), so that documents are built for those alone."""
+    own = {t: staging[t].join(keys, "tconst", "left_semi") for t in (
+        "title_basics", "title_ratings", "title_crew", "title_episode", "title_principals")}
+    akas = staging["title_akas"].join(keys.withColumnRenamed("tconst", "titleid"), "titleid", "left_semi")
+    return {**own, "title_akas": akas, "name_basics": staging["name_basics"]}
+
+
+def film_card_from_staging(
+    staging: dict[str, DataFrame], phrase: str, characters: str = "json", page_size: int = PAGE_SIZE
+) -> DataFrame:
+    """The same card where no documents are stored: those of the one film are built on the way."""
+    held = staging["title_basics"].filter(X.phrase_match(F.col("primarytitle"), phrase)).filter("tconst is not null")
+    key = F.broadcast(held.select("tconst").orderBy("tconst").limit(1))  # one row
+    return film_card(D.build_documents(_staged(staging, key), characters, page_size), phrase, page_size)
+
+
 def _names(lists: DataFrame, people: DataFrame, out: str, few: bool = False) -> DataFrame:
     """Names of the known people in an id list (columns tconst, ids), each person once, in list order.
 
@@ -96,31 +101,22 @@ def _names(lists: DataFrame, people: DataFrame, out: str, few: bool = False) ->
     )
 
 
-def film_search(staging: dict[str, DataFrame], query: str, page_size: int = PAGE_SIZE) -> DataFrame:
+def film_search(docs: dict[str, DataFrame], query: str) -> DataFrame:
     """Every title holding a word of the query, with rating, director and cast names.
 
-    Cast names come in pages like the cast itself.
+    Cast names come in pages like the cast itself, each person once per page, in billing order.
     """
-    base = D.title_base(staging["title_basics"]).withColumn("score", X.token_score(F.col("primaryTitle"), query))
-    hits = base.filter("score > 0")
-    people = D.people_docs(staging["name_basics"]).select("nconst", "primaryName")
-    titles = D.embed(D.embed(hits, D.rating_part(staging["title_ratings"])), D.crew_part(staging["title_crew"]))
-    keys = hits.select("tconst")
-    crew = D.crew_part(staging["title_crew"].join(keys, "tconst", "left_semi"))
-    directors = _names(crew.select("tconst", F.col("crew.directors").alias("ids")), people, "directors")
-    cast_rows = (
-        staging["title_principals"].join(keys, "tconst", "left_semi").select("tconst", "nconst")
-        .distinct().join(people, "nconst")
-    )
-    cast, more = paged_lists(
-        cast_rows, "tconst", F.struct("primaryName", "nconst"), "_a", page_size,
-        counted=staging["title_principals"].select("tconst"),
-    )
-    cast = cast if more is None else cast.unionByName(more)
-    out = titles.join(directors, "tconst", "left").join(cast, "tconst", "left")
-    none = F.array().cast("array<string>")
+    people = docs["people"].select("nconst", "primaryName")
+    hits = docs["titles"].withColumn("score", X.token_score(F.col("primaryTitle"), query)).filter("score > 0")
+    directors = _names(_title_rows(hits).select("tconst", F.col("crew.directors").alias("ids")), people, "directors")
+    billed = hits.select("tconst", "page", F.posexplode("principals").alias("pos", "p")).groupBy(
+        "tconst", "page", F.col("p.nconst").alias("nconst")).agg(F.min("pos").alias("pos"))
+    cast = billed.join(people, "nconst").groupBy("tconst", "page").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "primaryName"))).alias("_a"))
+    out = hits.join(directors, "tconst", "left").join(cast, ["tconst", "page"], "left")
+    none = F.array().cast(NO_NAMES)
     return out.select(
-        "tconst", F.coalesce("page", F.lit(0)).alias("page"), F.col("primaryTitle").alias("title"),
+        "tconst", "page", F.col("primaryTitle").alias("title"),
         F.col("startYear").alias("year"), F.col("rating.average").alias("rating"), F.col("rating.votes").alias("votes"),
         F.coalesce("directors", none).alias("directors"),
         F.coalesce(F.transform("_a", lambda x: x["primaryName"]), none).alias("actors"),
@@ -128,6 +124,12 @@ def film_search(staging: dict[str, DataFrame], query: str, page_size: int = PAGE
     )
 
 
+def film_search_from_staging(staging: dict[str, DataFrame], query: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """The same search where no documents are stored: those of the found titles are built on the way."""
+    found = staging["title_basics"].filter(X.token_score(F.col("primarytitle"), query) > 0).select("tconst").distinct()
+    return film_search(D.build_documents(_staged(staging, found), page_size=page_size), query)
+
+
 def director_works(titles: DataFrame, people: DataFrame, name: str) -> DataFrame:
     """All works, of any type, of people with that name: one row per person and title."""
     persons = people.filter(F.col("primaryName") == F.lit(name)).select("nconst")

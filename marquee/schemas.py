@@ -49,10 +49,10 @@ STAR_DDL = {
     "people": "nconst string, primary_name string, birth_year smallint, death_year smallint",
     "ratings": "tconst string, average_rating decimal(3,1), num_votes bigint",
     "episodes": "episode_tconst string, parent_tconst string, season_number smallint, episode_number int",
-    "genres": "genre_id smallint, genre_name string, description string",
-    "categories": "category_id smallint, category_name string, description string",
-    "title_genres": "tconst string, genre_id smallint, genre_order smallint",
-    "title_principals": "tconst string, ordering smallint, nconst string, category_id smallint, job string, "
+    "genres": "genre_id int, genre_name string, description string",
+    "categories": "category_id int, category_name string, description string",
+    "title_genres": "tconst string, genre_id int, genre_order smallint",
+    "title_principals": "tconst string, ordering smallint, nconst string, category_id int, job string, "
                         "characters string",
     "title_crew": "tconst string, nconst string, crew_type string",
 }
@@ -89,8 +89,6 @@ FOREIGN_KEYS = [
     ("title_crew", "nconst", "people", "nconst", True),
 ]
 
-PRINCIPAL = "struct<ordering:int,nconst:string,category:string,job:string,characters:array<string>>"
-
 # Fields of one snapshot-catalogue record, in the order they are registered.
 CATALOGUE_FIELDS = [
     "fecha", "hora", "tipo_backup", "direccion_almacenamiento", "maestro_usado", "metodo", "stanza",
@@ -105,6 +103,3 @@ def staging_schema(table: str) -> T.StructType:
 def staging_names(table: str) -> list[str]:
     return [name for name, _ in STAGING_COLUMNS[table]]
 
-
-def star_schema(table: str) -> T.StructType:
-    return T.StructType.fromDDL(STAR_DDL[table])

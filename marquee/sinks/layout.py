@@ -6,6 +6,7 @@ min/max statistics, so a lookup or a range reads few row groups.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +46,11 @@ def refresh_statistics(spark: SparkSession, table: str, columns: list[str] | Non
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
 
 
-# Access paths of the published tables: (partition columns, sort keys).
+# Access paths of the published tables: (partition columns, sort keys). Tables that are looked up by another key than
+# the one they are joined on are ranged; the others are sorted where their joins left them.
+RANGED = {"people": ["primary_name", "nconst"], "akas": ["title", "titleid"]}
 STAR_LAYOUT = {
     "titles": (["title_type"], ["tconst"]),
-    "people": ([], ["primary_name", "nconst"]),
     "ratings": ([], ["tconst"]),
     "episodes": ([], ["parent_tconst", "season_number", "episode_number"]),
     "title_genres": ([], ["tconst", "genre_order"]),
@@ -56,19 +58,25 @@ STAR_LAYOUT = {
     "title_crew": ([], ["nconst", "tconst"]),
     "genres": ([], ["genre_name"]),
     "categories": ([], ["category_name"]),
-    "akas": ([], ["title", "titleid"]),
 }
 
 
-def write_star(df: DataFrame, table: str, path: str) -> None:
+def write_star(df: DataFrame, table: str, save: Callable[..., None]) -> None:
     """Writer for ``publish``: each star table in its layout."""
+    if table in RANGED:
+        save(df.repartitionByRange(*RANGED[table]).sortWithinPartitions(*RANGED[table]))
+        return
     by, keys = STAR_LAYOUT.get(table, ([], []))
-    if by:
-        write_partitioned(df, path, by, keys, mode="errorifexists")
-    elif keys:
-        write_sorted(df, path, keys, mode="errorifexists")
-    else:
-        df.write.mode("errorifexists").parquet(path)
+    save(df.sortWithinPartitions(*by, *keys) if keys else df, tuple(by))
+
+
+# Documents: titles by key, so that page lookups and the phrase scan read few row groups.
+DOCUMENT_LAYOUT = {"titles": ["tconst", "page"], "people": ["nconst"], "akas": ["titleId", "ordering"]}
+
+
+def write_documents(df: DataFrame, table: str, save: Callable[..., None]) -> None:
+    """Writer for ``publish``: each collection sorted by its key within the partitions its joins left."""
+    save(df.sortWithinPartitions(*DOCUMENT_LAYOUT[table]))
 
 
 def profile(spark: SparkSession, paths: dict[str, str]) -> DataFrame:

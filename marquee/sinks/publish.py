@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.sources.tsv import path_exists
@@ -30,31 +30,37 @@ def _next_seq(spark: SparkSession, root: str) -> int:
 
 Tables = dict[str, DataFrame]
 Store = Callable[[str, DataFrame], DataFrame]
+Save = Callable[..., None]
 
 
 def publish(
     spark: SparkSession, root: str, build: Tables | Callable[[Store], Tables],
     check: Callable[[Tables], DataFrame] | None = None,
-    write: Callable[[DataFrame, str, str], None] | None = None,
+    write: Callable[[DataFrame, str, Save], None] | None = None,
 ) -> dict[str, int]:
     """Write tables under a new run, check what was written, then publish the run.
 
     ``build`` is either the tables or a function building them with ``store`` (name, frame ->
     written table), for tables that read earlier ones. ``check`` gets the written tables and returns
-    violations; any row rejects the run. ``write`` (frame, table, path) may lay a table out its own
-    way. Returns rows per table.
+    violations; any row rejects the run. ``write`` (frame, table, save) may lay a table out its own
+    way and hands the result (and folder columns, if any) to ``save``. Returns rows per table.
     """
     root = root.rstrip("/")
     seq, run = _next_seq(spark, root), uuid.uuid4().hex
     written: Tables = {}
     paths: dict[str, str] = {}
+    rows: dict[str, int] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
         paths[name] = f"{root}/runs/{run}/{name}"
-        if write:
-            write(df, name, paths[name])
-        else:
-            df.write.mode("errorifexists").parquet(paths[name])
+        # The rows of each step are counted as they are written: behind any exchange of the layout.
+        seen = Observation(f"{name}-{run}")
+
+        def save(laid: DataFrame, by: tuple[str, ...] = ()) -> None:
+            laid.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").partitionBy(*by).parquet(paths[name])
+
+        save(df) if write is None else write(df, name, save)
+        rows[name] = seen.get["rows"]
         written[name] = spark.read.schema(df.schema).parquet(paths[name])
         return written[name]
 
@@ -67,7 +73,6 @@ def publish(
         bad = check(written).limit(20).collect()
         if bad:
             raise RejectedRun(f"run {run} not published: {[tuple(r) for r in bad]}")
-    rows = {name: df.count() for name, df in written.items()}
     entries = [(seq, run, n, paths[n], rows[n]) for n in written]
     # The folder name holds the sequence, so two runs racing for one number cannot both succeed.
     spark.createDataFrame(entries, MANIFEST_DDL).drop("seq").coalesce(1).write.mode("errorifexists").parquet(

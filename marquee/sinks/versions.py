@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.columns import TYPE_LETTERS
 from marquee.operators import snapshots as SN
-from marquee.sources.tsv import path_exists
+from marquee.sources.tsv import path_exists, remove_path
 
 CATALOGUE_DDL = "stanza string, label string, type string, ts timestamp, path string"
 
@@ -67,7 +67,8 @@ def take(
     else:
         base = spark.read.parquet(fulls["path"]) if kind == "diff" else restore(spark, root, table, keys)
         SN.diff(base.select(*df.columns), df, keys).write.mode("errorifexists").parquet(path)
-        if spark.read.parquet(path).isEmpty():
+        if not SN.has_changes(spark.read.parquet(path)):
+            remove_path(spark, path)  # nothing refers to it, and the same stamp may be taken again
             return None
     entry = spark.createDataFrame([(table, label, kind, ts, path)], CATALOGUE_DDL)
     entry.coalesce(1).write.mode("errorifexists").parquet(f"{root}/catalogue/{table}/{label}")

@@ -14,6 +14,11 @@ from marquee.operators.integrity import too_long
 from marquee.schemas import STAGING_COLUMNS, STAGING_FILES, staging_names, staging_schema
 
 
+# One field behind its tab: plain characters, and pairs of a backslash and any character (or the end).
+FIELD = r"\t([^\t\\]*+(?:\\(?:[\s\S]|\z)[^\t\\]*+)*+)"
+NO_SEPARATOR = "\u0001\u0002\u0001"
+
+
 class BadRowsError(ValueError):
     """Strict reading met rows that do not fit the table."""
 
@@ -26,26 +31,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _decoded(encoding: str) -> Column:
     value = F.col("value")
     return value if encoding.upper() == "UTF-8" else F.decode(value.cast("binary"), encoding)
 
 
-def _lines(spark: SparkSession, path: str, names: list[str], header: bool, encoding: str) -> DataFrame:
-    raw = spark.read.option("lineSep", "\n").text(path).select(_decoded(encoding).alias("value"))
-    if header:
-        # The header is known from the layout, so no task has to know where a file begins.
-        raw = raw.filter(F.lower("value") != "\t".join(names).lower())
-    return raw
+def _lines(spark: SparkSession, path: str, header: bool, encoding: str) -> DataFrame:
+    """The lines behind the first one of each file, or all of them; blank lines are no rows."""
+    if not header:
+        return spark.read.option("lineSep", "\n").text(path).select(_decoded(encoding).alias("value")).filter("value <> ''")
+    # Only the CSV source knows which line opens a file. With a separator that no line holds and
+    # without quotes it hands over whole lines.
+    whole = {"sep": NO_SEPARATOR, "quote": "", "escape": "", "header": "true", "enforceSchema": "true", "lineSep": "\n",
+             "nullValue": NO_SEPARATOR, "emptyValue": "", "encoding": encoding}
+    return spark.read.schema("value string").options(**whole).csv(path)
 
 
 def cut(lines: DataFrame, names: list[str], escapes: bool = False, extra_na: list[str] | None = None) -> DataFrame:
     """Lines (column ``value``) to named text columns plus ``_width``, the number of fields found."""
     fields = F.split(F.col("value"), "\t", -1)
     if escapes:
-        # A tab behind an odd number of backslashes belongs to the field; such lines are rare.
+        # A backslash takes the character behind it along, so fields are read forwards; such lines are rare.
         escaped = F.contains(F.col("value"), F.lit("\\\t"))
-        fields = F.when(escaped, F.split(F.col("value"), r"(?<!(?<!\\)(?:\\\\){0,99}\\)\t", -1)).otherwise(fields)
+        forward = F.regexp_extract_all(F.concat(F.lit("\t"), F.col("value")), F.lit(FIELD), F.lit(1))
+        fields = F.when(escaped, forward).otherwise(fields)
     na = [NULL_MARK, *(extra_na or [])]
 
     def field(i: int) -> Column:
@@ -67,7 +82,7 @@ def read_tsv(
     ``good`` has the named text columns, ``rejected`` the raw lines of another width. Both are lazy.
     ``extra_na`` lists further words to read as NULL, ``encoding`` the character set of the file.
     """
-    parsed = cut(_lines(spark, path, names, header, encoding), names, escapes, extra_na)
+    parsed = cut(_lines(spark, path, header, encoding), names, escapes, extra_na)
     good = parsed.filter(F.col("_width") == len(names)).select(*names)
     bad = parsed.filter(F.col("_width") != len(names)).select("value", F.col("_width").alias("fields"))
     return good, bad

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from marquee.schemas import STAGING_COLUMNS
+
 
 def _key(prefix: str, number: str) -> str:
     text = f"cast({number} as varchar)"
@@ -69,7 +71,7 @@ CTES = {
       case when o_totalprice < 10000 then '1' else '0' end as isadult,
       case when o_orderkey % 11 = 0 then null when o_orderkey % 13 = 0 then '19x4'
         else cast(year(o_orderdate) as varchar) end as startyear,
-      cast(null as varchar) as endyear,
+      case o_orderkey % 4 when 1 then cast(year(o_orderdate) + 2 as varchar) when 2 then '20' end as endyear,
       case when o_orderkey % 17 = 0 then 'n/a' else cast(60 + o_orderkey % 120 as varchar) end as runtimeminutes,
       case when o_orderkey % 19 = 0 then null when o_orderkey % 23 = 0 then ''
         when o_orderkey % 3 = 0 then concat_ws(',', monthname(o_orderdate), dayname(o_orderdate))
@@ -77,7 +79,9 @@ CTES = {
     "names_raw": f"""select {_key('nm', 'c_custkey')} as nconst,
       case when c_acctbal < 0 then '  ' else concat(' Person ', cast(c_custkey // 2 as varchar)) end as primaryname,
       case when c_custkey % 7 = 0 then null else cast(1900 + c_custkey % 100 as varchar) end as birthyear,
-      cast(null as varchar) as deathyear, c_mktsegment as primaryprofession, cast(null as varchar) as knownfortitles
+      case when c_custkey % 5 = 0 then cast(1980 + c_custkey % 40 as varchar) end as deathyear, c_mktsegment as primaryprofession,
+      case c_custkey % 3 when 0 then concat({_key('tt', 'c_custkey')}, ',', {_key('tt', '(c_custkey + 1)')})
+        when 1 then {_key('tt', 'c_custkey')} end as knownfortitles
       from customer""",
     "ratings_raw": f"""select {_key('tt', 'o_orderkey')} as tconst,
       concat(cast(1 + (o_orderkey * 7) % 9 as varchar), '.', cast(o_orderkey % 10 as varchar)) as averagerating,
@@ -100,8 +104,9 @@ CTES = {
     "akas_raw": f"""select {_key('tt', 'l_orderkey')} as titleid, cast(l_linenumber as varchar) as ordering,
       concat('Aka ', cast(l_partkey as varchar)) as title,
       case l_linenumber % 4 when 0 then 'US' when 1 then 'FR' when 2 then 'NA' end as region,
-      case when l_linestatus = 'O' then 'fr' end as language, cast(null as varchar) as types,
-      cast(null as varchar) as attributes, case when l_linenumber = 1 then '1' else '0' end as isoriginaltitle
+      case when l_linestatus = 'O' then 'fr' end as language,
+      case l_linenumber % 3 when 0 then 'working' when 1 then 'festival,dvd' end as types,
+      case when l_linenumber % 2 = 0 and l_linestatus = 'F' then 'short title' end as attributes, case when l_linenumber = 1 then '1' else '0' end as isoriginaltitle
       from lineitem""",
     "titles": _title_columns("lower(titletype)", f"lower(titletype) in {KEPT}"),
     "people": f"""select * from (select nconst, nullif(trim(primaryname), '') as primary_name,
@@ -182,6 +187,12 @@ DIFF = """select case when o.o_orderkey is null then 'insert' when n.o_orderkey
 
 NAME_TRIGRAMS = f"select tconst, primarytitle, {_trigrams('primarytitle')} as g from titles_raw"
 PART_TRIGRAMS = f"select p_partkey, p_name, {_trigrams('p_name')} as g from part"
+
+
+def _line(columns: list[str]) -> str:
+    return "concat_ws('|', " + ", ".join(f"coalesce(replace({c}, ' ', '\\t'), '\\N')" for c in columns) + ")"
+
+
 TSV_FIELD = "coalesce(replace({c}, ' ', '~'), null) as {c}"
 TITLE_FIELDS = ["tconst", "titletype", "primarytitle", "originaltitle", "isadult", "startyear", "endyear", "runtimeminutes", "genres"]
 COUNTED = ["titles", "people", "ratings", "genres", "title_genres", "categories", "title_principals", "title_crew", "episodes"]
@@ -197,14 +208,83 @@ def _collapse(src: str, key: str, order: list[str], columns: list[str]) -> str:
     return f"select {key}, {', '.join(picks)} from {src} group by {key}"
 
 
+def _paged(size: int) -> str:
+    """Cast rows with the page their ordering lies on and their place there."""
+    return f"""(select *, (ordering - 1) // {size} as page, row_number() over (partition by tconst, (ordering - 1) // {size}
+      order by ordering, nconst, category, job nulls first, roles) - 1 as pos from cast_rows)"""
+
+
+def _embed_principals(size: int) -> str:
+    return f"""select t.tconst, c.page::bigint as page, c.pos::bigint as pos, t.titletype as "titleType", cast(c.ordering as bigint) as ordering,
+      c.nconst, c.category, c.job, c.roles as characters from titles_raw t join {_paged(size)} c on c.tconst = t.tconst"""
+
+
+def _title_documents(size: int) -> str:
+    return f"""select t.tconst, p.page, titletype as "titleType", startyear as "startYear", genres, votes,
+      case when has_crew then cast(coalesce(len({_list('directors')}), 0) as bigint) end as directors,
+      p.n as principals, e.parenttconst as parent_tconst from title_doc t
+      join (select tconst, page, sum(n)::bigint as n from (
+          select tconst, ((ordering::bigint) - 1) // {size} as page, 1 as n from principals_raw
+          union all select tconst, 0, 0 from titles_raw) group by tconst, page) p on p.tconst = t.tconst
+      left join episodes_raw e on e.tconst = t.tconst"""
+
+
+def _film_card(size: int) -> str:
+    return f"""select t.tconst, 0::bigint as page, 'film' as section, unnest(range(4)) as pos,
+        unnest([primarytitle, coalesce(cast(startyear as varchar), '?'), coalesce(cast(average as varchar), '?'), genres]) as a,
+        unnest([titletype, coalesce(cast(runtimeminutes as varchar), '?'), coalesce(cast(votes as varchar), '?'),
+        coalesce(names, '')]) as b from title_doc t left join ({NAMES_AGG}) dn on dn.tconst = t.tconst
+        where t.tconst in (select tconst from hit)
+      union all select c.tconst, c.page, 'cast', c.pos, n.primaryname, c.roles from {_paged(size)} c
+        left join names_raw n on n.nconst = c.nconst where c.tconst in (select tconst from hit)
+      union all select titleid, page, 'aka', row_number() over (partition by page order by o, title, region nulls first) - 1, title, region
+        from (select *, ordering::bigint as o, (ordering::bigint - 1) // {size} as page from akas_raw
+              where titleid in (select tconst from hit))"""
+
+
+def _film_search(size: int) -> str:
+    return f"""select t.tconst, r.page, t.startyear as year, t.average as rating, t.votes, t.genres, t.score, r.kind, r.pos, r.text from (
+        select *, cast(len(list_intersect({_tokens('primarytitle')}, ['may', 'specified'])) as bigint) as score from title_doc) t
+      join (select d.tconst, 0::bigint as page, 'title' as kind, 0::bigint as pos, concat(d.primarytitle, '/', coalesce(dn.names, '')) as text
+          from title_doc d left join ({NAMES_AGG}) dn on dn.tconst = d.tconst
+        union all select p.tconst, p.page, 'actor', row_number() over (partition by p.tconst, p.page order by p.pos) - 1, n.primaryname
+          from (select tconst, page, nconst, min(pos) as pos from {_paged(size)} group by all) p
+          join names_raw n on n.nconst = p.nconst) r on r.tconst = t.tconst where t.score > 0"""
+
+
+RAW = {"title_basics": "titles_raw", "name_basics": "names_raw", "title_ratings": "ratings_raw", "title_crew": "crew_raw",
+       "title_principals": "principals_raw", "title_episode": "episodes_raw", "title_akas": "akas_raw"}
+# Every reference of the star schema, over children as they are before cleaning and dimensions with gaps.
+LISTED = "(select r.tconst, g.genre_id from genre_rows r join genres g on g.genre_name = r.genre_name)"
+BILLED = "(select p.tconst, p.nconst, c.category_id from principals_raw p join categories c on c.category_name = p.category)"
+REFERENCES = [
+    ("ratings", "tconst", "tconst", "ratings_raw", "titles", "tconst"),
+    ("episodes", "episode_tconst", "tconst", "episodes_raw", "titles", "tconst"),
+    ("episodes", "parent_tconst", "parenttconst", "episodes_raw", "titles", "tconst"),
+    ("title_genres", "tconst", "tconst", LISTED, "titles", "tconst"),
+    ("title_genres", "genre_id", "genre_id", LISTED, "(select * from genres where genre_id % 4 <> 0)", "genre_id"),
+    ("title_principals", "tconst", "tconst", BILLED, "titles", "tconst"),
+    ("title_principals", "nconst", "nconst", BILLED, "people", "nconst"),
+    ("title_principals", "category_id", "category_id", BILLED, "(select * from categories where category_id <> 2)", "category_id"),
+    ("title_crew", "tconst", "tconst", "crew_rows", "titles", "tconst"),
+    ("title_crew", "nconst", "nconst", "crew_rows", "people", "nconst"),
+]
 GONE_TITLES = "(select tconst from titles where title_type = 'tvseries')"
 GONE_PEOPLE = "(select nconst from people where birth_year >= 1990)"
 
 BODIES = {
-    "tsv_rows": "select " + ", ".join(TSV_FIELD.format(c=c) for c in TITLE_FIELDS) + " from titles_raw where isadult <> '1'",
-    "tsv_rejects": "select concat_ws('|', " + ", ".join(f"coalesce(replace({c}, ' ', '\\t'), '\\N')" for c in TITLE_FIELDS[:-1])
-                   + ") as value, cast(8 as bigint) as fields from titles_raw where isadult = '1'",
-    "tsv_extra_na": "select nullif(region, 'NA') as region, count(*) as rows from akas_raw group by 1",
+    "tsv_rows": "select " + ", ".join(TSV_FIELD.format(c=c) for c in TITLE_FIELDS) + " from titles_raw where isadult <> '1' and not ends_with(tconst, '9')",
+    "tsv_rejects": f"""select {_line(TITLE_FIELDS[:-1])} as value, cast(8 as bigint) as fields from titles_raw where isadult = '1'
+      union all select concat({_line(TITLE_FIELDS)}, '|more'), cast(10 as bigint) from titles_raw
+      where isadult <> '1' and ends_with(tconst, '9')""",
+    "tsv_extra_na": "select * replace (nullif(region, 'NA') as region) from akas_raw",
+    "staging_files": f"""select 'title_basics' as table, count(*) as rows, count(genres) as filled, sum(length(primarytitle))::bigint as letters
+        from titles_raw union all
+      select 'title_akas', count(*), count(region), sum(length(title) + 5)::bigint from akas_raw union all
+      select 'title_ratings', 0, 0, null::bigint""",
+    "staging_append": "select cast(2 * count(*) as bigint) as rows, count(distinct tconst) as keys from ratings_raw",
+    "literal_regions": """select t.r_name, t.area, count(*) as nations from (values ('AFRICA', 'south'), ('ASIA', 'east'), ('EUROPE', 'north'))
+      as t(r_name, area) join region r on r.r_name = t.r_name join nation n on n.n_regionkey = r.r_regionkey group by 1, 2""",
     "key_page": "select nconst from names_raw where nconst > 'nm0000100' order by nconst limit 50",
     "key_range": "select tconst, titletype from titles_raw where tconst > 'tt0000100' and tconst <= 'tt0000900'",
     "titles_clean": "select * from titles",
@@ -238,45 +318,38 @@ BODIES = {
     "embed_rating": "select tconst, average, votes from title_doc",
     "embed_crew": "select tconst, case when has_crew then coalesce(directors, '') end as directors, "
                   "case when has_crew then coalesce(writers, '') end as writers from title_doc",
-    "embed_principals": """select t.tconst, t.titletype as "titleType", cast(c.ordering as bigint) as ordering, c.nconst, c.category,
-      c.job, c.roles as characters from titles_raw t join cast_rows c on c.tconst = t.tconst""",
+    "embed_principals": _embed_principals(10_000),
+    "embed_principals_paged": _embed_principals(3),
+    "title_documents": _title_documents(10_000),
+    "title_documents_paged": _title_documents(3),
+    "documents_loaded_twice": _title_documents(10_000),
+    "film_card": _film_card(10_000),
+    "film_card_paged": _film_card(3),
+    "catalogue_film_card": _film_card(10_000),
+    "film_search": _film_search(10_000),
+    "film_search_paged": _film_search(3),
+    "catalogue_film_search": _film_search(10_000),
     "embed_episode": f"""select t.tconst, e.parenttconst as parent_tconst, {_digits('seasonnumber')} as season_number,
       {_digits('episodenumber')} as episode_number from titles_raw t left join episodes_raw e on e.tconst = t.tconst""",
-    "title_documents": f"""select t.tconst, titletype as "titleType", startyear as "startYear", genres, votes,
-      case when has_crew then cast(coalesce(len({_list('directors')}), 0) as bigint) end as directors,
-      cast(coalesce(p.n, 0) as bigint) as principals, e.parenttconst as parent_tconst from title_doc t
-      left join (select tconst, count(*) as n from principals_raw group by tconst) p on p.tconst = t.tconst
-      left join episodes_raw e on e.tconst = t.tconst""",
     "people_documents": f"""select nconst, primaryname as "primaryName", {_year('birthyear')} as "birthYear",
-      coalesce(primaryprofession, '') as professions, cast(0 as bigint) as known_for from names_raw""",
+      coalesce(primaryprofession, '') as professions, cast(coalesce(len(string_split(knownfortitles, ',')), 0) as bigint) as known_for from names_raw""",
     "json_records": f"""select concat('{{"nconst":"', nconst, '","primaryName":"', primaryname, '"',
-      case when birthyear is null then '' else concat(',"birthYear":', {_year('birthyear')}) end, '}}') as value from names_raw""",
+      case when birthyear is null then '' else concat(',"birthYear":', {_year('birthyear')}) end,
+      case when deathyear is null then '' else concat(',"deathYear":', {_year('deathyear')}) end,
+      ',"primaryProfession":["', primaryprofession, '"],"knownForTitles":[',
+      case when knownfortitles is null then '' else concat('"', replace(knownfortitles, ',', '","'), '"') end, ']}}') as value from names_raw""",
     "collapse_last_non_null": _collapse(
         "(select * replace (cast(ordering as bigint) as ordering) from principals_raw)", "tconst", ["ordering", "nconst"],
         ["ordering", "nconst", "category", "job", "characters"]),
     "collapse_akas": _collapse(
         "(select * replace (cast(ordering as bigint) as ordering) from akas_raw)", "titleid", ["ordering", "title"],
-        ["ordering", "title", "region", "language"]),
+        ["ordering", "title", "region", "language", "types", "attributes", "isoriginaltitle"]),
     "character_lists": """select category, roles as as_json, roles as as_split,
       cast(case when roles = '' then 0 else 2 end as bigint) as n, count(*) as rows from cast_rows group by all""",
     "crew_positions": f"""select tconst, cast(len(d) as bigint) as n, d[1] as first, d[2] as second,
       case when len(d) > 1 then cast(list_position(d, d[2]) - 1 as bigint) end as second_at,
       array_to_string(list_transform(d, lambda x: substr(x, 3)), ',') as numbers
       from (select tconst, {_list('directors')} as d from title_doc) where len(d) > 0""",
-    "film_card": f"""select t.tconst, 'film' as section, unnest([primarytitle, coalesce(cast(startyear as varchar), '?'),
-        coalesce(cast(average as varchar), '?'), genres]) as a,
-        unnest([titletype, coalesce(cast(runtimeminutes as varchar), '?'), coalesce(cast(votes as varchar), '?'),
-        coalesce(names, '')]) as b from title_doc t left join ({NAMES_AGG}) dn on dn.tconst = t.tconst
-        where t.tconst in (select tconst from hit)
-      union all select c.tconst, 'cast', n.primaryname, c.roles from cast_rows c left join names_raw n on n.nconst = c.nconst
-        where c.tconst in (select tconst from hit)
-      union all select titleid, 'aka', title, region from akas_raw where titleid in (select tconst from hit)""",
-    "film_search": f"""select t.tconst, t.startyear as year, t.average as rating, t.votes, t.genres, t.score, r.kind, r.text from (
-        select *, cast(len(list_intersect({_tokens('primarytitle')}, ['may', 'specified'])) as bigint) as score from title_doc) t
-      join (select d.tconst, 'title' as kind, concat(d.primarytitle, '/', coalesce(dn.names, '')) as text
-          from title_doc d left join ({NAMES_AGG}) dn on dn.tconst = d.tconst
-        union all select p.tconst, 'actor', n.primaryname from (select distinct tconst, nconst from principals_raw) p
-          join names_raw n on n.nconst = p.nconst) r on r.tconst = t.tconst where t.score > 0""",
     "director_works": """select t.primarytitle as titulo, t.startyear as ano, t.titletype as tipo
       from (select distinct tconst, nconst from directing) d join names_raw n on n.nconst = d.nconst
       join title_doc t on t.tconst = d.tconst where n.primaryname = ' Person 10'""",
@@ -348,22 +421,22 @@ BODIES = {
     "enum_violations": """select titletype as value, count(*) as rows from titles_raw where titletype not in
       ('movie','short','tvseries','tvepisode','video','tvMovie','tvShort','tvMiniSeries','tvSpecial') group by 1""",
     "length_violations": " union all ".join(
-        f"select '{c}' as column, cast({n} as bigint) as \"limit\", count(*) filter (length({c}) > {n}) as rows, max(length({c})) as longest from titles_raw"
-        for c, n in [("titletype", 7), ("primarytitle", 14), ("genres", 10)]),
+        f"select '{t}' as \"table\", '{c}' as \"column\", cast({n} as bigint) as \"limit\", count(*) filter (length({c}) > {n}) as rows, "
+        f"max(length({c})) as longest from {RAW[t]}" for t, columns in STAGING_COLUMNS.items() for c, n in columns if n is not None),
     "fk_violations": " union all ".join(
-        f"select '{t}' as table, '{c}' as column, {v} as value, count(*) as rows from {src} where {v} not in (select {k} from {p}) group by 3"
-        for t, c, v, src, p, k in [
-            ("ratings", "tconst", "tconst", "ratings_raw", "titles", "tconst"),
-            ("episodes", "episode_tconst", "tconst", "episodes_raw", "titles", "tconst"),
-            ("episodes", "parent_tconst", "parenttconst", "episodes_raw", "titles", "tconst"),
-            ("title_principals", "tconst", "tconst", "principals_raw", "titles", "tconst"),
-            ("title_principals", "nconst", "nconst", "principals_raw", "people", "nconst"),
-        ]),
+        f"select '{t}' as table, '{c}' as column, cast({v} as varchar) as value, count(*) as rows from {src} where {v} not in (select {k} from {p}) group by 3"
+        for t, c, v, src, p, k in REFERENCES),
     "star_checks": " union all ".join(
-        f"select 'reference' as \"check\", '{t}' as table, '{c}' as column, count(*) as rows from {src} where {c} not in (select {c} from {p}) having count(*) > 0"
-        for t, c, src, p in [
-            ("ratings", "tconst", "ratings_raw", "titles"), ("title_principals", "tconst", "principals_raw", "titles"),
-            ("title_principals", "nconst", "principals_raw", "people")]),
+        f"select 'reference' as \"check\", '{t}' as table, '{c}' as column, count(*) as rows from {src} where {v} not in (select {k} from {p}) having count(*) > 0"
+        for t, c, v, src, p, k in REFERENCES),
+    "publish_steps": " union all ".join(f"select '{t}' as tabla, count(*) as total from {src}" for t, src in [
+        ("titles", "titles_raw"), ("people", "names_raw"), ("akas", "akas_raw")]),
+    "duplicate_batch_keys": """select tconst, ordering, count(*) as rows from principals_raw group by 1, 2 having count(*) > 1""",
+    "backup_register": f"""select key, fecha, hora, tipo_backup, direccion_almacenamiento,
+      case when type = 'full' then 'second' else maestro_usado end as maestro_usado, metodo, stanza
+      from (select r.*, s.type from records r join snaps s on s.event_id = r.event_id)""",
+    "change_counts": f"""select 'same' as version, cast(0 as bigint) as changes, false as changed
+      union all select 'new', count(*), true from ({DIFF.format(cents=_cents('n.o_totalprice'))})""",
     "cascade_delete": _counts({
         "titles": f"titles where tconst not in {GONE_TITLES}",
         "people": f"people where nconst not in {GONE_PEOPLE}",
@@ -379,7 +452,7 @@ BODIES = {
     "table_shapes": " union all ".join(
         f"select '{t}' as \"table\", count(*) as rows, cast({n} as bigint) as columns from {t}" for t, n in [
             ("orders", 6), ("lineitem", 11), ("part", 6), ("customer", 5), ("supplier", 4), ("nation", 3), ("region", 2),
-            ("events", 6), ("documents", 5), ("pages", 3)]),
+            ("events", 6), ("documents", 5), ("pages", 3), ("embeddings", 3), ("benchmark", 2), ("labels", 3), ("conversations", 4)]),
     "snapshot_diff": DIFF.format(cents=_cents("n.o_totalprice")),
     "apply_changes": f"select o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} as o_totalprice from new_v",
     "rebuild_chain": f"select o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} as o_totalprice from new_v where o_orderstatus <> 'O'",
@@ -445,4 +518,6 @@ def _with(body: str) -> str:
     return (f"with {', '.join(parts)} " if parts else "") + body
 
 
+# The table functions answer like the reports.
+BODIES |= {f"{name}_sql": BODIES[name] for name in ("director_info", "director_movies")}
 ORACLE = {name: _with(body) for name, body in BODIES.items()}

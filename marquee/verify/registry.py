@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,9 +74,9 @@ def _title_lines(spark: SparkSession, folder: str) -> DataFrame:
     raw = V.titles_raw(spark, folder)
     fields = [F.coalesce(F.replace(F.col(c), F.lit(" "), F.lit("\\t")), F.lit(X.NULL_MARK)) for c in raw.columns]
     line = F.concat_ws("\t", *fields)
-    # Some lines lose their last field, as a broken export would.
-    short = F.concat_ws("\t", *fields[:-1])
-    return raw.select(F.when(F.col("isadult") == "1", short).otherwise(line).alias("value"))
+    # Some lines lose their last field and some have one more, as a broken export would.
+    short, wide = F.concat_ws("\t", *fields[:-1]), F.concat(line, F.lit("\tmore"))
+    return raw.select(F.when(F.col("isadult") == "1", short).when(F.endswith("tconst", F.lit("9")), wide).otherwise(line).alias("value"))
 
 
 @query
@@ -94,12 +95,60 @@ def tsv_rejects(spark, folder):
         F.replace("value", F.lit("\t"), F.lit("|")).alias("value"), F.col("_width").cast("bigint").alias("fields"))
 
 
+def _plain_lines(raw: DataFrame) -> DataFrame:
+    fields = [F.coalesce(F.col(c), F.lit(X.NULL_MARK)) for c in raw.columns]
+    return raw.select(F.concat_ws("\t", *fields).alias("value"))
+
+
 @query
 def tsv_extra_na(spark, folder):
-    raw = V.akas_raw(spark, folder).select("titleid", "ordering", "region")
-    lines = raw.select(F.concat_ws("\t", "titleid", "ordering", F.coalesce("region", F.lit(X.NULL_MARK))).alias("value"))
-    parsed = tsv.cut(lines, ["titleid", "ordering", "region"], extra_na=["NA"])
-    return parsed.groupBy("region").agg(F.count(F.lit(1)).alias("rows"))
+    raw = V.akas_raw(spark, folder)
+    return tsv.cut(_plain_lines(raw), raw.columns, extra_na=["NA"]).select(*raw.columns)
+
+
+def _write_text(lines: DataFrame, heading: str, path: str, encoding: str = "UTF-8") -> None:
+    """Lines as text files, each with a heading of its own wording."""
+    plain = {"sep": tsv.NO_SEPARATOR[0], "quote": "", "escape": "", "lineSep": "\n", "encoding": encoding,
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines.select(F.col("value").alias(heading)).write.options(header="true", **plain).csv(path)
+
+
+@query
+def staging_files(spark, folder):
+    """Written as text and read back: escapes, a header by position, latin-1, a missing file."""
+    ensure_shared_dir(spark)
+    root = shared_path(spark, "text")
+    titles, akas = V.titles_raw(spark, folder), V.akas_raw(spark, folder)
+    escaped = titles.withColumn("primarytitle", F.replace("primarytitle", F.lit(" "), F.lit("\\t")))
+    _write_text(_plain_lines(escaped), "any heading", f"{root}/basics")
+    accented = _plain_lines(akas.withColumn("title", F.concat("title", F.lit(" caf\u00e9"))))
+    _write_text(accented, "other heading", f"{root}/akas", "ISO-8859-1")
+    read = {
+        "title_basics": (tsv.read_staging(spark, f"{root}/basics", "title_basics", strict=True), "genres", "primarytitle"),
+        "title_akas": (tsv.read_staging(spark, f"{root}/akas", "title_akas", encoding="ISO-8859-1"), "region", "title"),
+        "title_ratings": (tsv.read_staging(spark, f"{root}/none", "title_ratings"), "numvotes", "tconst"),
+    }
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"), F.count(c).alias("filled"), F.sum(F.length(t)).alias("letters"))
+             .select(F.lit(name).alias("table"), "rows", "filled", "letters") for name, (df, c, t) in read.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def staging_append(spark, folder):
+    ensure_shared_dir(spark)
+    path = shared_path(spark, "staging")
+    ratings = V.ratings_raw(spark, folder)
+    tsv.write_staging(ratings, path)
+    tsv.write_staging(ratings, path, append=True)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("tconst").alias("keys"))
+
+
+@query
+def literal_regions(spark, folder):
+    areas = tsv.literal_rows(spark, [("AFRICA", "south"), ("ASIA", "east"), ("EUROPE", "north")], "r_name string, area string")
+    regions, nations = V.table(spark, folder, "region"), V.table(spark, folder, "nation")
+    return areas.join(regions, "r_name").join(nations, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name", "area").agg(
+        F.count(F.lit(1)).alias("nations"))
 
 
 @query
@@ -198,6 +247,22 @@ def director_movies(spark, folder):
     return _wide(PD.director_movies(N.build_star(V.staging(spark, folder)), DIRECTOR))
 
 
+def _sql(spark, folder, call: str) -> DataFrame:
+    PD.register_views(spark, N.build_star(V.staging(spark, folder)))
+    PD.register_functions(spark)
+    return _wide(spark.sql(f"SELECT * FROM {call}"))
+
+
+@query
+def director_info_sql(spark, folder):
+    return _sql(spark, folder, f"get_director_info('{DIRECTOR}')")
+
+
+@query
+def director_movies_sql(spark, folder):
+    return _sql(spark, folder, f"get_director_movies('{DIRECTOR}')")
+
+
 # --- documents -------------------------------------------------------------------------------
 
 
@@ -231,13 +296,21 @@ def embed_crew(spark, folder):
     return docs.select("tconst", _joined("crew.directors").alias("directors"), _joined("crew.writers").alias("writers"))
 
 
+def _unfolded(docs: DataFrame) -> DataFrame:
+    rows = docs.select("tconst", "page", "titleType", F.posexplode("principals").alias("pos", "p"))
+    return _wide(rows.select("tconst", "page", "pos", "titleType", "p.ordering", "p.nconst", "p.category", "p.job",
+                             _joined("p.characters", "/").alias("characters")))
+
+
 @query
 def embed_principals(spark, folder):
-    """Unfolded again, so that the rows do not depend on how a large cast is paged."""
-    docs = _title_docs(spark, folder, "principals")
-    rows = docs.select("tconst", "titleType", F.explode("principals").alias("p"))
-    return _wide(rows.select("tconst", "titleType", "p.ordering", "p.nconst", "p.category", "p.job",
-                             _joined("p.characters", "/").alias("characters")))
+    return _unfolded(_title_docs(spark, folder, "principals"))
+
+
+@query
+def embed_principals_paged(spark, folder):
+    base = D.title_base(V.titles_raw(spark, folder))
+    return _unfolded(D.embed_principals(base, V.principals_raw(spark, folder), page_size=3))
 
 
 @query
@@ -246,15 +319,31 @@ def embed_episode(spark, folder):
     return _wide(docs.select("tconst", "parent_tconst", "season_number", "episode_number"))
 
 
+def _title_facts(docs: DataFrame) -> DataFrame:
+    return _wide(docs.select(
+        "tconst", "page", "titleType", "startYear", _joined("genres").alias("genres"),
+        F.col("rating.votes").alias("votes"), F.size("crew.directors").alias("directors"),
+        "parent_tconst", F.size("principals").alias("principals")))
+
+
 @query
 def title_documents(spark, folder):
-    docs = D.build_documents(V.staging(spark, folder))["titles"]
-    keys = ["tconst", "titleType", "startYear", "genres", "votes", "directors", "parent_tconst"]
-    flat = docs.select(
-        "tconst", "titleType", "startYear", _joined("genres").alias("genres"),
-        F.col("rating.votes").alias("votes"), F.size("crew.directors").alias("directors"),
-        "parent_tconst", F.size("principals").alias("n"))
-    return _wide(flat.groupBy(*keys).agg(F.sum("n").alias("principals")))
+    return _title_facts(D.build_documents(V.staging(spark, folder))["titles"])
+
+
+@query
+def title_documents_paged(spark, folder):
+    return _title_facts(D.build_documents(V.staging(spark, folder), page_size=3)["titles"])
+
+
+@query
+def documents_loaded_twice(spark, folder):
+    """A second load of titles, ratings, crew and episodes, with gaps, changes nothing."""
+    staging = V.staging(spark, folder)
+    again = {"title_basics": "genres", "title_ratings": "numvotes", "title_crew": "writers", "title_episode": "seasonnumber"}
+    for table, gap in again.items():
+        staging[table] = staging[table].unionByName(staging[table].withColumn(gap, F.lit(None).cast("string")))
+    return _title_facts(D.build_documents(staging)["titles"])
 
 
 @query
@@ -266,8 +355,7 @@ def people_documents(spark, folder):
 
 @query
 def json_records(spark, folder):
-    docs = _people_docs(spark, folder).select("nconst", "primaryName", "birthYear", "deathYear")
-    return D.to_json_records(docs)
+    return D.to_json_records(_people_docs(spark, folder))
 
 
 @query
@@ -279,8 +367,7 @@ def collapse_last_non_null(spark, folder):
 @query
 def collapse_akas(spark, folder):
     raw = V.akas_raw(spark, folder).withColumn("ordering", F.col("ordering").cast("int"))
-    return _wide(U.collapse_last_non_null(raw, ["titleid"], ["ordering", "title"]).select(
-        "titleid", "ordering", "title", "region", "language"))
+    return _wide(U.collapse_last_non_null(raw, ["titleid"], ["ordering", "title"]))
 
 
 @query
@@ -316,10 +403,8 @@ def _section(name: str, rows: Column, fields: Callable[[Column], tuple]) -> Colu
     return F.transform(rows, entry)
 
 
-@query
-def film_card(spark, folder):
-    """The card unfolded to (section, a, b) rows, so that they do not depend on paging."""
-    card = PF.film_card(V.staging(spark, folder), PHRASE)
+def _card_rows(card: DataFrame) -> DataFrame:
+    """The card unfolded to (page, section, pos, a, b) rows."""
     year, minutes = F.col("año_lanzamiento").cast("string"), F.col("duracion_minutos").cast("string")
     facts = F.array(
         F.struct(F.col("titulo_principal").alias("a"), F.col("tipo").alias("b")),
@@ -327,25 +412,69 @@ def film_card(spark, folder):
         F.struct(F.coalesce(F.col("rating.promedio").cast("string"), F.lit("?")).alias("a"),
                  F.coalesce(F.col("rating.votos").cast("string"), F.lit("?")).alias("b")),
         F.struct(_joined("generos").alias("a"), _joined("directores", ";").alias("b")))
-    none = F.array().cast("array<struct<section:string,a:string,b:string>>")
-    sections = F.concat(
-        F.when(F.col("page") == 0, _section("film", facts, lambda x: (x["a"], x["b"]))).otherwise(none),
-        _section("cast", F.col("reparto_principal"), lambda p: (p["nombre_actor"], F.array_join(p["personajes"], "/"))),
-        _section("aka", F.col("otros_titulos"), lambda a: (a["titulo"], a["region"])))
-    return card.select("tconst", F.explode(sections).alias("s")).select("tconst", "s.section", "s.a", "s.b")
+    sections = {
+        "film": F.when(F.col("page") == 0, _section("film", facts, lambda x: (x["a"], x["b"]))),
+        "cast": _section("cast", F.col("reparto_principal"), lambda p: (p["nombre_actor"], F.array_join(p["personajes"], "/"))),
+        "aka": _section("aka", F.col("otros_titulos"), lambda a: (a["titulo"], a["region"])),
+    }
+    parts = [card.select("tconst", "page", F.posexplode(rows).alias("pos", "s")).select(
+        "tconst", "page", "s.section", "pos", "s.a", "s.b") for rows in sections.values()]
+    return _wide(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
 @query
-def film_search(spark, folder):
-    """One row per found title and one per cast name of it."""
-    found = PF.film_search(V.staging(spark, folder), "may specified")
+def film_card(spark, folder):
+    return _card_rows(PF.film_card_from_staging(V.staging(spark, folder), PHRASE))
+
+
+@query
+def film_card_paged(spark, folder):
+    return _card_rows(PF.film_card_from_staging(V.staging(spark, folder), PHRASE, page_size=3))
+
+
+def _published(spark, folder, label: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The documents written as one run and read back, and the rows each step wrote."""
+    ensure_shared_dir(spark)
+    root = shared_path(spark, label)
+    staging = V.staging(spark, folder)
+    rows = publish.publish(spark, root, lambda store: D.build_documents(staging, store=store), write=layout.write_documents)
+    return publish.current(spark, root), rows
+
+
+@query
+def catalogue_film_card(spark, folder):
+    return _card_rows(PF.film_card(_published(spark, folder, "card")[0], PHRASE))
+
+
+def _found_rows(found: DataFrame) -> DataFrame:
+    """One row per found title and one per cast name of it, with its place."""
     title = F.when(F.col("page") == 0, F.array(F.concat(F.col("title"), F.lit("/"), _joined("directors", ";"))))
-    title = F.coalesce(title, F.array().cast("array<string>"))
-    rows = F.concat(F.transform(title, lambda t: F.struct(F.lit("title").alias("kind"), t.alias("text"))),
-                    F.transform("actors", lambda t: F.struct(F.lit("actor").alias("kind"), t.alias("text"))))
-    return _wide(found.select(
-        "tconst", "year", "rating", "votes", _joined("genres").alias("genres"), "score", F.explode(rows).alias("r"))
-        .select("tconst", "year", "rating", "votes", "genres", "score", "r.kind", "r.text"))
+    facts = ["tconst", "page", "year", "rating", "votes", _joined("genres").alias("genres"), "score"]
+    rows = [found.select(*facts, F.lit(kind).alias("kind"), F.posexplode(texts).alias("pos", "text"))
+            for kind, texts in (("title", title), ("actor", F.col("actors")))]
+    return _wide(rows[0].unionByName(rows[1]))
+
+
+@query
+def film_search(spark, folder):
+    return _found_rows(PF.film_search_from_staging(V.staging(spark, folder), "may specified"))
+
+
+@query
+def film_search_paged(spark, folder):
+    return _found_rows(PF.film_search_from_staging(V.staging(spark, folder), "may specified", page_size=3))
+
+
+@query
+def catalogue_film_search(spark, folder):
+    return _found_rows(PF.film_search(_published(spark, folder, "search")[0], "may specified"))
+
+
+@query
+def publish_steps(spark, folder):
+    """Rows written per step of a publish run."""
+    _, rows = _published(spark, folder, "steps")
+    return spark.createDataFrame(list(rows.items()), "tabla string, total bigint")
 
 
 def _works(df: DataFrame) -> DataFrame:
@@ -560,35 +689,48 @@ def enum_violations(spark, folder):
 
 @query
 def length_violations(spark, folder):
-    return _wide(I.length_violations(V.titles_raw(spark, folder), [("titletype", 7), ("primarytitle", 14), ("genres", 10)]))
+    """The limits of every staging table."""
+    parts = [I.length_violations(df, S.STAGING_COLUMNS[name]).select(F.lit(name).alias("table"), "*")
+             for name, df in V.staging(spark, folder).items()]
+    return _wide(reduce(DataFrame.unionByName, parts))
 
 
 @query
-def fk_violations(spark, folder):
-    tables = {
+def duplicate_batch_keys(spark, folder):
+    return U.duplicate_keys(V.principals_raw(spark, folder), ["tconst", "ordering"]).withColumnRenamed("count", "rows")
+
+
+def _unchecked_star(spark, folder) -> dict[str, DataFrame]:
+    """All nine tables, children as they are before cleaning, dimensions with gaps."""
+    staging = V.staging(spark, folder)
+    genres, categories = N.genres_dim(staging["title_basics"]), N.categories_dim(staging["title_principals"])
+    listed = staging["title_basics"].filter("genres is not null").select(
+        "tconst", F.posexplode(X.split_list(F.col("genres"))).alias("pos", "genre_name"))
+    roles = [staging["title_crew"].filter(f"{c} is not null").select(
+        "tconst", F.explode(X.split_list(F.col(c))).alias("nconst"), F.lit(role).alias("crew_type"))
+        for c, role in (("directors", "director"), ("writers", "writer"))]
+    return {
         "titles": _titles(spark, folder), "people": _people(spark, folder),
-        "ratings": V.ratings_raw(spark, folder),
-        "title_principals": V.principals_raw(spark, folder),
-        "episodes": V.episodes_raw(spark, folder).select(
+        "genres": genres.filter("genre_id % 4 <> 0"), "categories": categories.filter("category_id <> 2"),
+        "ratings": staging["title_ratings"].select(
+            "tconst", F.col("averagerating").alias("average_rating"), F.col("numvotes").alias("num_votes")),
+        "episodes": staging["title_episode"].select(
             F.col("tconst").alias("episode_tconst"), F.col("parenttconst").alias("parent_tconst")),
+        "title_genres": listed.join(genres, "genre_name").select("tconst", "genre_id", F.col("pos").alias("genre_order")),
+        "title_principals": staging["title_principals"].join(categories, F.col("category") == F.col("category_name")).select(
+            "tconst", "ordering", "nconst", "category_id"),
+        "title_crew": roles[0].unionByName(roles[1]),
     }
-    references = [r for r in S.FOREIGN_KEYS if r[0] in tables and r[2] in tables]
-    return I.fk_report(tables, references)
+
+
+@query
+def fk_violations(spark, folder):
+    return I.fk_report(_unchecked_star(spark, folder))
 
 
 @query
 def star_checks(spark, folder):
-    raw = V.principals_raw(spark, folder)
-    categories = N.categories_dim(raw)
-    tables = {
-        "titles": _titles(spark, folder), "people": _people(spark, folder),
-        "categories": categories,
-        "ratings": V.ratings_raw(spark, folder).select(
-            "tconst", F.col("averagerating").alias("average_rating"), F.col("numvotes").alias("num_votes")),
-        "title_principals": raw.join(F.broadcast(categories), F.col("category") == F.col("category_name")).select(
-            "tconst", "ordering", "nconst", "category_id"),
-    }
-    return I.check_star(tables)
+    return I.check_star(_unchecked_star(spark, folder))
 
 
 @query
@@ -599,21 +741,15 @@ def cascade_delete(spark, folder):
     return I.table_counts(I.cascade_delete(star, gone_titles, gone_people))
 
 
-PROFILED = ["orders", "lineitem", "part", "customer", "supplier", "nation", "region", "events", "documents", "pages"]
-
-
-def _profile(spark, folder) -> DataFrame:
-    return layout.profile(spark, {n: f"{folder.rstrip('/')}/{n}.parquet" for n in PROFILED})
-
-
-@query
-def table_profile(spark, folder):
-    return _profile(spark, folder)
+PROFILED = ["orders", "lineitem", "part", "customer", "supplier", "nation", "region", "events", "documents", "pages",
+            "embeddings", "benchmark", "labels", "conversations"]
 
 
 @query
 def table_shapes(spark, folder):
-    return _profile(spark, folder).select("table", "rows", "columns")
+    """Rows and columns of every driver table. File sizes are no SQL matter; a test compares them with the files."""
+    paths = {n: f"{folder.rstrip('/')}/{n}.parquet" for n in PROFILED}
+    return layout.profile(spark, paths).select("table", "rows", "columns")
 
 
 # --- versions --------------------------------------------------------------------------------
@@ -647,6 +783,15 @@ def restore_as_of(spark, folder):
     return out.select("user_id", "event_type", "value", "event_id")
 
 
+@query
+def change_counts(spark, folder):
+    """An unchanged version gives an empty change set."""
+    old, new = V.old_version(spark, folder), V.new_version(spark, folder)
+    parts = [SN.diff(old, v, ["o_orderkey"]).agg(F.count(F.lit(1)).alias("changes")).select(
+        F.lit(name).alias("version"), "changes", (F.col("changes") > 0).alias("changed")) for name, v in (("same", old), ("new", new))]
+    return parts[0].unionByName(parts[1])
+
+
 def _chain(df: DataFrame) -> DataFrame:
     return df.select("stanza", "event_id", "role", "label")
 
@@ -720,6 +865,17 @@ def _field_pairs(spark, folder) -> DataFrame:
     return rows.select("key", F.explode(pairs).alias("p")).select("key", "p.field", "p.value")
 
 
+@query
+def backup_register(spark, folder):
+    """Fulls registered again by another host replace their records; the key is the record's location."""
+    snaps = V.snapshots(spark, folder)
+    rows = B.records(snaps).withColumn("stamp", F.col("key")).withColumn("key", F.col("direccion_almacenamiento"))
+    again = B.records(snaps.filter("type = 'full'"), primary=F.lit("second")).withColumn("stamp", F.col("key")).withColumn(
+        "key", F.col("direccion_almacenamiento"))
+    out = B.register(rows, again)
+    return out.withColumn("key", F.col("stamp")).drop("stamp")
+
+
 @query
 def backup_fields_pivot(spark, folder):
     return B.pivot_fields(_field_pairs(spark, folder))
@@ -750,7 +906,6 @@ def report_snapshots(spark, folder):
         F.concat(F.lit("            timestamp start/stop: "), at, F.lit(" / "), at),
         F.concat(F.lit("            database size: "), mb, F.lit("MB, database backup size: "), mb, F.lit("MB")),
         F.concat(F.lit("            repo1: backup set size: "), mb, F.lit("GB, backup size: "), mb, F.lit("kB")))
-    texts = F.transform(texts, lambda t: F.replace(t, F.lit("kB"), F.lit("KB")))
     lines = snaps.select("stanza", "event_id", F.posexplode(texts).alias("i", "value")).select(
         "stanza", (F.col("event_id") * 4 + F.col("i")).alias("line_no"), "value")
     out = B.report_snapshots(lines, ["line_no"], ["stanza"])

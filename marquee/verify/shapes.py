@@ -53,7 +53,7 @@ def titles_raw(spark: SparkSession, folder: str) -> DataFrame:
         name.alias("originaltitle"),
         F.when(F.col("o_totalprice") < 10000, "1").otherwise("0").alias("isadult"),
         F.when(k % 11 == 0, None).when(k % 13 == 0, "19x4").otherwise(F.year("o_orderdate").cast("string")).alias("startyear"),
-        F.lit(None).cast("string").alias("endyear"),
+        F.when(k % 4 == 1, (F.year("o_orderdate") + 2).cast("string")).when(k % 4 == 2, "20").alias("endyear"),
         F.when(k % 17 == 0, "n/a").otherwise((60 + k % 120).cast("string")).alias("runtimeminutes"),
         F.when(k % 19 == 0, None).when(k % 23 == 0, "").when(k % 3 == 0, F.concat_ws(",", month, day)).otherwise(month)
         .alias("genres"),
@@ -67,9 +67,9 @@ def names_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("c_acctbal") < 0, "  ").otherwise(
             F.concat(F.lit(" Person "), F.expr("c_custkey div 2").cast("string"))).alias("primaryname"),
         F.when(k % 7 == 0, None).otherwise((1900 + k % 100).cast("string")).alias("birthyear"),
-        F.lit(None).cast("string").alias("deathyear"),
+        F.when(k % 5 == 0, (1980 + k % 40).cast("string")).alias("deathyear"),
         F.col("c_mktsegment").alias("primaryprofession"),
-        F.lit(None).cast("string").alias("knownfortitles"),
+        F.when(k % 3 == 0, F.concat_ws(",", _tt(k), _tt(k + 1))).when(k % 3 == 1, _tt(k)).alias("knownfortitles"),
     )
 
 
@@ -125,8 +125,8 @@ def akas_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("Aka "), F.col("l_partkey").cast("string")).alias("title"),
         F.when(line % 4 == 0, "US").when(line % 4 == 1, "FR").when(line % 4 == 2, "NA").alias("region"),
         F.when(F.col("l_linestatus") == "O", "fr").alias("language"),
-        F.lit(None).cast("string").alias("types"),
-        F.lit(None).cast("string").alias("attributes"),
+        F.when(line % 3 == 0, "working").when(line % 3 == 1, "festival,dvd").alias("types"),
+        F.when((line % 2 == 0) & (F.col("l_linestatus") == "F"), "short title").alias("attributes"),
         F.when(line == 1, "1").otherwise("0").alias("isoriginaltitle"),
     )
 

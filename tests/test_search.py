@@ -17,6 +17,7 @@ def ids(df):
 def test_phrase(titles):
     assert ids(SE.phrase_search(titles, "title", "dark knight")) == [0, 3]
     assert ids(SE.phrase_search(titles, "title", "amelie")) == [4]
+    assert ids(SE.phrase_search(titles, "title", "!!")) == []
 
 
 def test_tokens(titles):
@@ -38,7 +39,7 @@ def test_similar_terms_match_pairwise_similarity(spark, titles):
             want[(r["id"], term)] = r["similarity"]
     assert got == pytest.approx(want) and got
     with pytest.raises(ValueError):
-        SE.similar_to_terms(titles, "id", "title", terms, "t", max_terms=1)
+        SE.similar_to_terms(titles, "id", "title", terms, "t", 0)
 
 
 def test_aka(spark):

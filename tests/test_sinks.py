@@ -34,7 +34,9 @@ def test_layouts(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "people")).count() == 18
     profile = layout.profile(spark, {"titles": by_type, "people": str(tmp_path / "people")}).collect()
     assert {r["table"]: r["rows"] for r in profile} == {"titles": 12, "people": 18}
-    assert all(r["bytes"] > 0 and r["size"] for r in profile)
+    on_disk = {n: sum(f.stat().st_size for f in (tmp_path / n).rglob("*.parquet")) for n in ("by_type", "people")}
+    assert {r["table"]: r["bytes"] for r in profile} == {"titles": on_disk["by_type"], "people": on_disk["people"]}
+    assert [r["bytes"] for r in profile] == sorted(on_disk.values(), reverse=True) and all(r["size"] for r in profile)
 
 
 def test_bucketed_tables_join_without_exchange(spark, tmp_path):

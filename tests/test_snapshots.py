@@ -70,3 +70,9 @@ def test_as_of_log(spark, as_rows):
                                 "s int, op string, k string, v int")
     assert as_rows(SN.rebuild_log(log, ["k"], "s", F.lit(2))) == [("x", 2), ("y", 7)]
     assert as_rows(SN.rebuild_log(log, ["k"], "s")) == [("y", 7)]
+
+
+def test_two_fulls_at_one_time(spark):
+    rows = [("s", "a", "full", 1), ("s", "b", "full", 1), ("s", "c", "diff", 2), ("s", "d", "diff", 2), ("s", "e", "incr", 3)]
+    entries = spark.createDataFrame(rows, "stanza string, label string, type string, d int").selectExpr("*", "timestamp_seconds(d) as ts")
+    assert sorted((r["label"], r["role"]) for r in SN.restore_chain(entries).collect()) == [("b", "full"), ("d", "diff"), ("e", "incr")]

@@ -87,10 +87,28 @@ def test_genre_lists(spark, as_rows):
     assert as_rows(normalize.title_genres(raw, genres, clean.clean_titles(raw))) == [("tt1", 1, 2), ("tt1", 1, 3), ("tt1", 2, 1)]
 
 
-def test_dimension_is_bounded(spark):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_dimension_of_any_size(spark, ansi):
     raw = spark.range(40000).selectExpr("concat('c', id) as category")
-    with pytest.raises(PySparkException):
-        normalize.categories_dim(raw).collect()
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        dim = normalize.categories_dim(raw)
+        assert dim.count() == 40000
+        names = [r["category_name"] for r in dim.orderBy("category_id").collect()]
+        assert names == sorted(names) and dim.agg({"category_id": "max"}).first()[0] == 40000
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_repeated_keys_raise(spark):
+    for table, build in (("title_basics", clean.clean_titles), ("name_basics", clean.clean_people)):
+        twice = days.staging(spark)[table]
+        with pytest.raises(PySparkException, match="duplicate key"):
+            build(twice.unionByName(twice)).count()
+    star = days.star(spark)
+    ratings = days.staging(spark)["title_ratings"]
+    with pytest.raises(PySparkException, match="duplicate key"):
+        clean.clean_ratings(ratings.unionByName(ratings), star["titles"]).select("tconst").collect()
 
 
 def test_first_episode_row_wins(spark, as_rows):

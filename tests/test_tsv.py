@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.schemas import staging_names
 from marquee.sources import tsv
@@ -62,6 +63,20 @@ def test_all_files_and_append(spark, tmp_path):
     assert spark.read.parquet(kept).count() == 2
 
 
+def test_first_line_goes_by_position(spark, tmp_path):
+    for n in (1, 2):
+        write(tmp_path, f"h{n}.tsv", ["titleId averageRating numVotes", "tconst\taverageRating\tnumVotes", f"tt{n}\t5.0\t1", ""])
+    good, bad = tsv.read_tsv(spark, str(tmp_path / "h*.tsv"), staging_names("title_ratings"))
+    assert sorted(r["tconst"] for r in good.collect()) == ["tconst", "tconst", "tt1", "tt2"] and bad.count() == 0
+
+
+def test_any_number_of_backslashes(spark):
+    lines = spark.createDataFrame([("a" + "\\" * n + "\tb", n) for n in (0, 1, 2, 197, 198, 203, 4001, 4002)], "value string, n int")
+    widths = {r["n"]: r["_width"] for r in tsv.cut(lines.select("value", "n"), ["x", "y"], escapes=True).select(
+        "_width", F.length("value").alias("l")).selectExpr("l - 3 as n", "_width").collect()}
+    assert widths == {n: 1 if n % 2 else 2 for n in (0, 1, 2, 197, 198, 203, 4001, 4002)}
+
+
 def test_escaped_tabs(spark, tmp_path):
     path = write(tmp_path, "e.tsv", ["a\\\tb\t1", "c\\\\\t2", "d\\\\\\\te\t3"])
     good, bad = tsv.read_tsv(spark, path, ["x", "y"], header=False)
