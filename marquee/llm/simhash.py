@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import same_row, smallest_reachable, text_key
+from marquee.llm.common import materialise, same_row, smallest_reachable, text_key
 
 BITS = 64
 BLOCKS = 8
@@ -139,7 +139,8 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 2) ->
     has fingerprint zero and links like any other. A bit is set if it is in over half the shingles. Rows that share
     a fingerprint link; null ids never become a component_id unless nothing else is in the component.
     """
-    fps = with_fingerprints(docs, shingle)
+    # Three narrow columns a row, used for the groups and for the result: written once, so texts are read once.
+    fps = materialise(with_fingerprints(docs, shingle))
     # One row per fingerprint: a group of copies is one entry whatever its size.
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     links = near_links(distinct.select("fp"), max_bits)
