@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import let, same_row, text_key
+from marquee.llm.common import dealt_anew, let, same_row, text_key
 
 RUN = 3            # lines of the shortest run that counts as repeated
 GRAM = 2           # lines of a fingerprint
@@ -47,10 +47,10 @@ def repeated_lines(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFra
     place = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "text_key", "fp_at")
     shared = (windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b"))
               .where("a <> b").select("fp"))
-    candidates = windows.join(shared, "fp").select("doc_id", "text_key", "at", "fp", "run_hash")
+    candidates = windows.join(dealt_anew(shared, "fp"), "fp").select("doc_id", "text_key", "at", "fp", "run_hash")
     start = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "text_key", "at")
     firsts = candidates.groupBy("fp", "run_hash").agg(F.min(start).alias("first"))
-    later = candidates.join(firsts, ["fp", "run_hash"]).where(
+    later = candidates.join(dealt_anew(firsts, "run_hash"), ["fp", "run_hash"]).where(
         ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))
         | (F.col("first.at") + run <= F.col("at")))
     lines = F.array_sort(F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + run - 1)))))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import materialise
+from marquee.llm.common import dealt_anew, materialise
 from marquee.llm.induced import repeated_starts
 
 MIN_MATCH = 400
@@ -244,7 +244,7 @@ def repeated_spans(docs: DataFrame, match: int = MIN_MATCH, anchor: int = ANCHOR
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), byte_key(F.col("text")).alias("text_key"), "text")
     filed = rows.mapInArrow(_file_segments(match, anchor, chunk), SEGMENT)
     shared = filed.groupBy("piece").agg(F.count("*").alias("n")).where("n > 1").select("piece")
-    segs = materialise(filed.join(shared, "piece"))
+    segs = materialise(filed.join(dealt_anew(shared, "piece"), "piece"))
     one = F.struct("doc_id", "text_key", "first")
     kinds = segs.groupBy("piece", "content", "strings").agg(F.count("*").alias("copies"), F.min(one).alias("at"))
     end = F.col("first") + F.col("strings") + match - 1
@@ -253,7 +253,7 @@ def repeated_spans(docs: DataFrame, match: int = MIN_MATCH, anchor: int = ANCHOR
     # Segments met once need sorting, and with them one of each other kind under the same piece.
     mixed = (kinds.groupBy("piece").agg(F.count("*").alias("kinds"), F.min("copies").alias("rarest"))
              .where("kinds > 1 and rarest = 1").select("piece"))
-    wanted = (kinds.join(mixed, "piece").select("at.*", "strings", "piece")
+    wanted = (kinds.join(dealt_anew(mixed, "piece"), "piece").select("at.*", "strings", "piece")
               .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("first", "strings", "piece")).alias("segs")))
     cut = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_key"] == wanted["text_key"])).select(
         rows["doc_id"], rows["text_key"], "text", "segs")
