@@ -11,6 +11,7 @@ source, however large one source is.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 
 import pyarrow as pa
@@ -111,8 +112,29 @@ def route(patterns: list[tuple[list, int]], targets: dict, repeats: int) -> list
     return [(*m, f) for m, f in zip(meaning, flow) if m is not None and f > 0]
 
 
+def _fill(sizes: list[int], chosen: list, room: list[list], steps: int = 8) -> None:
+    """Bring each share's words nearer to its room: take one more document, or one in place of another."""
+    for share in room:
+        for _ in range(steps):
+            free = sorted((sizes[j], j) for j, c in enumerate(chosen) if c is None and sizes[j])
+            mine = [(0, None), *((sizes[i], i) for i, c in enumerate(chosen) if c == share[0])]
+            best = (abs(share[1]), None, None, 0)
+            for size, i in mine:
+                # The free document that comes nearest to what is missing once ``i`` goes.
+                at = bisect.bisect_left(free, (share[1] + size, -1))
+                for gain, j in free[max(0, at - 1):at + 1]:
+                    if abs(share[1] + size - gain) < best[0]:
+                        best = (abs(share[1] + size - gain), i, j, gain - size)
+            if best[2] is None:
+                break
+            if best[1] is not None:
+                chosen[best[1]] = None
+            chosen[best[2]] = share[0]
+            share[1] -= best[3]
+
+
 def _place(table: pa.Table) -> pa.Table:
-    """Documents of one bucket, in seeded order, to the shares that reach into it: first fit, then best rest."""
+    """Documents of one bucket, in seeded order, to the shares that reach into it: first fit, then nearest."""
     table = table.take(pc.sort_indices(table, sort_keys=[("order", "ascending"), ("doc_id", "ascending")]))
     room = [list(x) for x in zip(table["shares"][0].as_py(), table["rooms"][0].as_py())]
     chosen: list = [None] * table.num_rows
@@ -128,6 +150,7 @@ def _place(table: pa.Table) -> pa.Table:
         share = max(room, key=lambda x: x[1])
         if 2 * share[1] > size:
             chosen[i], share[1] = share[0], share[1] - size
+    _fill(table["size"].to_pylist(), chosen, room)
     return table.drop_columns(["shares", "rooms", "order", "bucket"]).append_column("given", pa.array(chosen, pa.int32()))
 
 
