@@ -53,23 +53,28 @@ def document_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = item_windows(benchmark)
     seen = windows.agg(F.count("*").alias("n"), F.collect_set("len").alias("lens")).first()  # at most 13 lengths
     lens = sorted(seen["lens"], reverse=True) or [WINDOW]
-    wanted = windows.select(F.col("h"), F.col("len").alias("w_len"), F.col("words").alias("w_words"), "item_ids")
-    if seen["n"] <= MAX_BROADCAST_WINDOWS:
-        wanted = F.broadcast(wanted)
+    wanted = windows.select("h", F.col("len").alias("w_len"), F.col("words").alias("w_words"), "item_ids")
     tokens = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), alnum_words(F.col("text")).alias("words"))
     # The hashes of all lengths lie one after the other; the place tells which is which.
-    grams = tokens.select("doc_id", "text_key", "words",
+    grams = tokens.select("doc_id", "text_key", "words", F.size("words").alias("n"),
                           F.concat(*[window_hashes(F.col("words"), n) for n in lens]).alias("grams"))
-    spread = grams.select("doc_id", "text_key", "words", F.posexplode("grams").alias("place", "h"))
     at = length = F.lit(None).cast("int")
     start = F.lit(0)
     for n in lens:
-        count = F.greatest(F.size("words") - n + 1, F.lit(0))
+        count = F.greatest(F.col("n") - n + 1, F.lit(0))
         here = (F.col("place") >= start) & (F.col("place") < start + count)
         at, length = F.coalesce(F.when(here, F.col("place") - start), at), F.coalesce(F.when(here, n), length)
         start = start + count
-    hits = spread.join(wanted, "h").select("doc_id", "text_key", "words", at.alias("at"), length.alias("len"),
-                                           "w_len", "w_words", "item_ids")
+    facts = [at.alias("at"), length.alias("len"), "w_len", "w_words", "item_ids"]
+    if seen["n"] <= MAX_BROADCAST_WINDOWS:
+        spread = grams.select("doc_id", "text_key", "words", "n", F.posexplode("grams").alias("place", "h"))
+        hits = spread.join(F.broadcast(wanted), "h").select("doc_id", "text_key", "words", *facts)
+    else:
+        # The words of a document must not travel with each of its windows: they meet the hits by document.
+        spread = grams.select("doc_id", "text_key", "n", F.posexplode("grams").alias("place", "h"))
+        found = spread.join(wanted, "h").select("doc_id", "text_key", *facts)
+        own = tokens.dropDuplicates(["doc_id", "text_key"])
+        hits = found.join(own, same_row(found, own)).select(found["doc_id"], found["text_key"], "words", "at", "len", "w_len", "w_words", "item_ids")
     same = (F.col("len") == F.col("w_len")) & (F.array_join(F.slice("words", F.col("at") + 1, F.col("w_len")), " ") == F.col("w_words"))
     return hits.where(same).select("doc_id", "text_key", "at", "len", "item_ids")
 
