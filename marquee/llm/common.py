@@ -34,6 +34,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def same_text(left: Column, right: Column) -> Column:
+    """Equality in a form that no join takes for a key: it is computed for the rows whose hashes met, not for all."""
+    return (left >= right) & (left <= right)
+
+
 def text_key(text: Column) -> Column:
     """64-bit key of a text; with the document id it names a row where ids repeat or are null."""
     return F.xxhash64(F.coalesce(text, F.lit("")), F.isnull(text))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.llm.common import alnum_words, same_row, text_key
+from marquee.llm.common import alnum_words, same_row, same_text, text_key
 from marquee.llm.decontam import window_hashes
 
 GRAM = 2
@@ -59,9 +59,9 @@ def license_votes(docs: DataFrame, templates: DataFrame) -> DataFrame:
     """(doc_id, text_key, template, label, is_base, n, diagonal, offsets): the template places confirmed on each diagonal."""
     tokens = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), alnum_words(F.col("text")).alias("words"))
     grams = tokens.select("doc_id", "text_key", "words", window_hashes(F.col("words"), GRAM).alias("grams"))
-    spread = grams.select("doc_id", "text_key", "words", F.posexplode("grams").alias("at", "h"))
+    spread = grams.select("doc_id", "text_key", "words", F.posexplode_outer("grams").alias("at", "h"))
     hits = spread.join(F.broadcast(templates), "h").where(  # a fixed table of a few hundred rows
-        (F.get("words", F.col("at")) == F.col("first")) & (F.get("words", F.col("at") + 1) == F.col("second")))
+        same_text(F.get("words", F.col("at")), F.col("first")) & same_text(F.get("words", F.col("at") + 1), F.col("second")))
     return (hits.select("doc_id", "text_key", "template", "label", "is_base", "n", (F.col("at") - F.col("offset")).alias("diagonal"), "offset")
             .groupBy("doc_id", "text_key", "template", "label", "is_base", "n", "diagonal")
             .agg(F.collect_set("offset").alias("offsets")))
