@@ -41,9 +41,9 @@ def repeated_lines(docs: DataFrame, run: int = RUN, gram: int = GRAM) -> DataFra
     only if they do not overlap, so the first of a line that is repeated many times over stays for ``run`` lines.
     """
     windows = (docs.select("doc_id", text_key(F.col("text")).alias("text_key"),
-                           F.explode(line_windows(F.col("text"), run, gram)).alias("w"))
+                           F.explode_outer(line_windows(F.col("text"), run, gram)).alias("w"))
                .select("doc_id", "text_key", F.col("w.least.fp").alias("fp"), (-F.col("w.least.back")).alias("fp_at"),
-                       F.col("w.at").alias("at"), F.col("w.run_hash").alias("run_hash")))
+                       F.col("w.at").alias("at"), F.col("w.run_hash").alias("run_hash")).where("run_hash is not null"))
     place = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "text_key", "fp_at")
     shared = (windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b"))
               .where("a <> b").select("fp"))
