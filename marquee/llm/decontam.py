@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import alnum_words, let, same_row, text_key
+from marquee.llm.common import alnum_words, let, same_row, same_text, text_key
 
 WINDOW = 13
 MAX_BROADCAST_WINDOWS = 1_000_000
@@ -58,25 +58,24 @@ def document_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # The hashes of all lengths lie one after the other; the place tells which is which.
     grams = tokens.select("doc_id", "text_key", "words", F.size("words").alias("n"),
                           F.concat(*[window_hashes(F.col("words"), n) for n in lens]).alias("grams"))
-    at = length = F.lit(None).cast("int")
-    start = F.lit(0)
+    at, start = F.lit(None).cast("int"), F.lit(0)
     for n in lens:
         count = F.greatest(F.col("n") - n + 1, F.lit(0))
         here = (F.col("place") >= start) & (F.col("place") < start + count)
-        at, length = F.coalesce(F.when(here, F.col("place") - start), at), F.coalesce(F.when(here, n), length)
-        start = start + count
-    facts = [at.alias("at"), length.alias("len"), "w_len", "w_words", "item_ids"]
+        at, start = F.coalesce(F.when(here, F.col("place") - start), at), start + count
+    facts = [at.alias("at"), "w_len", "w_words", "item_ids"]
     if seen["n"] <= MAX_BROADCAST_WINDOWS:
-        spread = grams.select("doc_id", "text_key", "words", "n", F.posexplode("grams").alias("place", "h"))
+        spread = grams.select("doc_id", "text_key", "words", "n", F.posexplode_outer("grams").alias("place", "h"))
         hits = spread.join(F.broadcast(wanted), "h").select("doc_id", "text_key", "words", *facts)
     else:
         # The words of a document must not travel with each of its windows: they meet the hits by document.
-        spread = grams.select("doc_id", "text_key", "n", F.posexplode("grams").alias("place", "h"))
+        spread = grams.select("doc_id", "text_key", "n", F.posexplode_outer("grams").alias("place", "h"))
         found = spread.join(wanted, "h").select("doc_id", "text_key", *facts)
         own = tokens.dropDuplicates(["doc_id", "text_key"])
-        hits = found.join(own, same_row(found, own)).select(found["doc_id"], found["text_key"], "words", "at", "len", "w_len", "w_words", "item_ids")
-    same = (F.col("len") == F.col("w_len")) & (F.array_join(F.slice("words", F.col("at") + 1, F.col("w_len")), " ") == F.col("w_words"))
-    return hits.where(same).select("doc_id", "text_key", "at", "len", "item_ids")
+        hits = found.join(own, same_row(found, own)).select(found["doc_id"], found["text_key"], "words", "at", "w_len", "w_words", "item_ids")
+    found_words = F.array_join(F.slice("words", F.col("at") + 1, F.col("w_len")), " ")
+    return hits.where(same_text(found_words, F.col("w_words"))).select(
+        "doc_id", "text_key", "at", F.col("w_len").alias("len"), "item_ids")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
