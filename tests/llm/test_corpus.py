@@ -342,6 +342,49 @@ def test_passages_of_the_given_documents(given):
             assert got[i] == got[j], (i, j)
 
 
+def similar_somewhere(a, b):
+    """Whether any two stretches of MIN_SHINGLES and a few more shingles are similar enough, by comparing all of them."""
+    least = passages.MIN_SHINGLES
+    for la, lb in itertools.product({least, len(a)}, {least, len(b)}):
+        for i, j in itertools.product(range(len(a) - la + 1), range(len(b) - lb + 1)):
+            x, y = set(a[i:i + la].tolist()), set(b[j:j + lb].tolist())
+            if len(x & y) >= passages.SIMILARITY * len(x | y):
+                return True
+    return False
+
+
+@pytest.mark.parametrize("n", [50, 52, 60, 89])
+def test_one_edit_anywhere_in_a_short_passage(n):
+    rng = random.Random(n)
+    text = prose(rng, n, 10**6).split()
+    before, behind = prose(rng, 30, 10**6).split(), prose(rng, 30, 10**6).split()
+
+    def shingles(words_):
+        return passages.shingle_hashes(passages.word_hashes(" ".join(words_), {}))
+
+    for place in range(n):
+        for edited in ([*text[:place], "changed", *text[place + 1:]], [*text[:place], "new", *text[place:]],
+                       [*text[:place], *text[place + 1:]]):
+            a, b = shingles(text), shingles([*before, *edited, *behind])
+            places = {v: i for i, v in enumerate(b.tolist())}
+            meets = [(i, places[v]) for i, v in enumerate(a.tolist()) if v in places]
+            got = passages.passages_from(a, b, meets)
+            assert bool(got) == similar_somewhere(a, b), (n, place, len(edited))
+            for a0, a1, b0, b1, s in got:
+                x, y = set(a[a0:a1].tolist()), set(b[b0:b1].tolist())
+                assert min(a1 - a0, b1 - b0) >= passages.MIN_SHINGLES and s == len(x & y) / len(x | y) >= 0.8
+
+
+def test_a_passage_edited_every_few_lines():
+    rng = random.Random(8)
+    text = prose(rng, 400, 10**6).split()
+    edited = [f"e{i}" if i % 45 == 20 else w for i, w in enumerate(text)]
+    a, b = (passages.shingle_hashes(passages.word_hashes(" ".join(x), {})) for x in (text, edited))
+    meets = [(i, i) for i in range(len(a)) if a[i] == b[i]]
+    (found,) = passages.passages_from(a, b, meets[:1])
+    assert found[1] - found[0] > 300 and found[4] >= 0.8
+
+
 @pytest.mark.parametrize("table", ["odd", "none"])
 def test_passages_edge_cases(table, request):
     docs = request.getfixturevalue(table)
