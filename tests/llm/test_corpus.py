@@ -385,6 +385,23 @@ def test_a_passage_edited_every_few_lines():
     assert found[1] - found[0] > 300 and found[4] >= 0.8
 
 
+def test_a_passage_that_others_quote_in_part(spark):
+    rng = random.Random(12)
+    rows, pairs_ = [], []
+    for k in range(12):
+        shared = prose(rng, 60, 10**6).split()
+        # Parts of 40 words are too short to link; some of their keys are smaller than those of the two.
+        for _ in range(12):
+            at = rng.randrange(21)
+            rows.append((len(rows), " ".join([prose(rng, 30, 10**6), *shared[at:at + 40], prose(rng, 30, 10**6)])))
+        for _ in range(2):
+            rows.append((len(rows), " ".join([prose(rng, 30, 10**6), *shared, prose(rng, 30, 10**6)])))
+        pairs_.append((len(rows) - 2, len(rows) - 1))
+    got = {r["doc_id"]: r["class_id"] for r in passages.passage_classes(documents(spark, rows)).collect()}
+    expected = {i: i for i, _ in rows} | {j: i for i, j in pairs_}
+    assert got == expected
+
+
 @pytest.mark.parametrize("table", ["odd", "none"])
 def test_passages_edge_cases(table, request):
     docs = request.getfixturevalue(table)
