@@ -375,6 +375,16 @@ def test_one_edit_anywhere_in_a_short_passage(n):
                 assert min(a1 - a0, b1 - b0) >= passages.MIN_SHINGLES and s == len(x & y) / len(x | y) >= 0.8
 
 
+def test_a_meeting_point_between_an_edge_and_inserted_words():
+    rng = random.Random(5)
+    text = prose(rng, 100, 10**6).split()
+    inserted = [*text[:12], "one", *text[12:21], "two", *text[21:]]
+    a, b = (passages.shingle_hashes(passages.word_hashes(" ".join(x), {})) for x in (text, inserted))
+    assert a[14] == b[15]
+    (found,) = passages.passages_from(a, b, [(14, 15)])
+    assert found[:2] == (0, len(a)) and found[4] >= 0.8
+
+
 def test_a_passage_edited_every_few_lines():
     rng = random.Random(8)
     text = prose(rng, 400, 10**6).split()
