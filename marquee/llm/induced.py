@@ -5,9 +5,10 @@ the one before, and what follows is not smaller) are sorted by recursion on a sh
 from them by two sweeps. Each sweep takes the smallest (then the largest) suffix from a priority queue of tuples
 (position, common prefix with the suffix taken before) and puts the suffix one character to its left back into it.
 Ranks only rise during a sweep, so the queue is first in first out within a leading character; entries beyond the
-memory budget go to an unlinked scratch file of the task, as do the text, the types and the sorted runs. Common prefix
-values travel with the tuples: two neighbours share one character more than the suffixes they were induced from, which
-is a range minimum over the values taken since. Whole runs are handled at once in numpy.
+memory budget go to an unlinked scratch file of the task, as do the types and the sorted runs. The given text and the
+arrays over the local minima (places, their order, names) stay in memory. Common prefix values travel with the tuples:
+two neighbours share one character more than the suffixes they were induced from, which is a range minimum over the
+values taken since. Whole runs are handled at once in numpy.
 """
 
 from __future__ import annotations

@@ -180,7 +180,7 @@ def _sort_shard(match: int, shard_bytes: int, budget: int):
     """Repeated strings of a partition that is sorted by piece.
 
     Whole pieces are taken together until a shard holds ``shard_bytes``; a piece that holds more by itself is one
-    shard, which the induction sorts beyond the memory budget.
+    shard, whose queue and runs may go beyond the memory budget; its segments and its text are held in memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, names, parts, held, last = set(), [], [], 0, None
