@@ -2,8 +2,8 @@
 
 Of every window of consecutive line pairs the one with the smallest hash is a fingerprint, so any run of ``RUN``
 lines that two places share yields the same fingerprint in both. Fingerprints that stand at one place only are
-dropped; around the others every run that contains them is compared, which extends a match line by line both ways;
-of equal runs the first in document order stays and the lines of all later ones go. Groups are met by joins and
+dropped; every run of ``RUN`` lines around the others is compared by its 64-bit hash, so that shingles of lines stand for
+the extension of a match; of equal runs the first in document order stays and the lines of all later ones go. Groups are met by joins and
 by minima that combine before the shuffle; no pair of places is ever formed.
 """
 
