@@ -17,7 +17,8 @@ PAGE_SIZE = 10_000
 def page_of(ordering: Column, page_size: int = PAGE_SIZE) -> Column:
     """Page of an element: orderings 1..page_size lie on page 0, the next ones on page 1, and so on.
 
-    An element without a usable ordering (NULL or below 1) lies on page 0.
+    An element without a usable ordering (NULL or below 1) lies on page 0. A page is bounded only if the orderings of
+    a key are distinct and usable: all elements that repeat one, or have none, share a page.
     """
     place = F.greatest(F.coalesce(ordering.cast("bigint"), F.lit(1)), F.lit(1)) - 1
     return F.floor(place / page_size).cast("bigint")
@@ -30,7 +31,7 @@ def paged_lists(
     """Collect ``element`` (a struct) into sorted arrays, one row per (``key``, ``page``).
 
     The page follows from the ordering, so neighbours stay neighbours and a key of any size is cut
-    alike. ``heads`` (a frame with ``key``) gives each of its keys a page 0, empty if need be.
+    alike, if its orderings are distinct. ``heads`` (a frame with ``key``) gives each of its keys a page 0, empty if need be.
     """
     rows = df.select(F.col(key), page_of(ordering, page_size).alias("page"), element.alias("_e"))
     if heads is not None:
