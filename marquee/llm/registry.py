@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
-    decontam, exact_dedup, licenses, line_dedup, mixing, passages, quality, sharding, simhash, suffix_dedup,
+    decontam, exact_dedup, hard_negatives, licenses, line_dedup, mixing, passages, periodic, quality, sharding, simhash, suffix_dedup,
 )
 
 
@@ -70,6 +70,19 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine_hard_negatives(hard_negatives.with_moved_labels(_table(spark, folder, "embeddings")))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.with_planted_runs(_table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,5 +92,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_mix_sources, op2_quality, op3_line_dedup, op4_shards, op5_decontaminate, op6_exact_dedup, op7_passages,
-              op8_substring_dedup, op9_simhash, op10_licenses, pipeline)
+              op8_substring_dedup, op9_simhash, op10_licenses, op11_hard_negatives, op13_periodic_runs, pipeline)
 }
