@@ -77,5 +77,25 @@ with d as (
   from d group by text_sha256
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from d join g using (text_sha256)
+""",
+    "op12_ngram_join": f"""
+with recursive docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{NOT_SPACE}') as ws from documents
+), sets as (
+  select doc_id, list_distinct(case when len(ws) >= 5 then [array_to_string(list_slice(ws, i, i + 4), ' ') for i in range(1, len(ws) - 3)]
+                                    when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as s from docs
+), grams as (
+  select doc_id, unnest(s) as g from sets
+), links as (
+  select a.doc_id as x, b.doc_id as y
+  from grams a join grams b on a.g = b.g and a.doc_id <> b.doc_id
+  join sets sa on sa.doc_id = a.doc_id join sets sb on sb.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id, len(sa.s), len(sb.s)
+  having 100 * count(*) >= 80 * (len(sa.s) + len(sb.s) - count(*))
+), reach(x, y) as (
+  select x, y from links union select r.x, l.y from reach r join links l on r.y = l.x
+)
+select d.doc_id, len(d.s)::bigint as n_shingles, least(d.doc_id, coalesce(min(r.y), d.doc_id)) as component_id
+from sets d left join reach r on r.x = d.doc_id group by d.doc_id, len(d.s)
 """,
 }

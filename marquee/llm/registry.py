@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import (
-    decontam, exact_dedup, hard_negatives, licenses, line_dedup, mixing, passages, periodic, quality, sharding, simhash, suffix_dedup,
+    decontam, exact_dedup, hard_negatives, licenses, line_dedup, mixing, ngram_join, passages, periodic, quality, sharding,
+    simhash, suffix_dedup,
 )
 
 
@@ -74,6 +75,10 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine_hard_negatives(hard_negatives.with_moved_labels(_table(spark, folder, "embeddings")))
 
 
+def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(_table(spark, folder, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     found = periodic.periodic_runs(periodic.with_planted_runs(_table(spark, folder, "documents")))
     lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
@@ -92,5 +97,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_mix_sources, op2_quality, op3_line_dedup, op4_shards, op5_decontaminate, op6_exact_dedup, op7_passages,
-              op8_substring_dedup, op9_simhash, op10_licenses, op11_hard_negatives, op13_periodic_runs, pipeline)
+              op8_substring_dedup, op9_simhash, op10_licenses, op11_hard_negatives, op12_ngram_join, op13_periodic_runs, pipeline)
 }
