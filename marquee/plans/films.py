@@ -44,7 +44,8 @@ def film_card(docs: dict[str, DataFrame], phrase: str, page_size: int = PAGE_SIZ
     cast = billed.join(members, F.col("p.nconst") == F.col("_id"), "left").groupBy("tconst", "page").agg(
         F.sort_array(F.collect_list(entry)).alias("_cast"))
     other = docs["akas"].withColumnRenamed("titleId", "tconst").join(key, "tconst", "left_semi")
-    akas = paged_lists(other, "tconst", F.col("ordering"), F.struct("ordering", F.col("title").alias("titulo"), "region"), "_akas", page_size)
+    akas = paged_lists(other, "tconst", F.col("ordering"), F.struct("ordering", F.col("title").alias("titulo"), "region"), "_akas", page_size,
+                       heads=film)  # the film's facts stand on page 0, also where no list begins there
 
     lists = cast.join(akas, ["tconst", "page"], "full_outer")
     facts = film.select("tconst", "primaryTitle", "titleType", "startYear", "runtimeMinutes", "genres", "rating")

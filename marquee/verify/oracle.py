@@ -372,6 +372,15 @@ BODIES = {
       from titles_raw where len(list_intersect({_tokens('primarytitle')}, ['may', 'specified'])) > 0""",
     "token_search_documents": f"""select * from (select doc_id,
       cast(len(list_intersect({_tokens('text')}, ['the', 'entre', 'ou'])) as bigint) as score from documents) where score > 0""",
+    "index_phrase_search": f"select tconst, primarytitle from titles_raw where contains({_norm('primarytitle')}, ' october urgent ')",
+    "index_phrase_after_changes": f"select tconst, primarytitle from titles_raw where contains({_norm('primarytitle')}, ' october urgent ')",
+    "index_token_search": f"""select tconst, primarytitle, cast(len(list_intersect({_tokens('primarytitle')}, ['may', 'specified'])) as bigint) as score
+      from titles_raw where len(list_intersect({_tokens('primarytitle')}, ['may', 'specified'])) > 0""",
+    "index_token_search_documents": f"""select * from (select doc_id,
+      cast(len(list_intersect({_tokens('text')}, ['the', 'entre', 'ou'])) as bigint) as score from documents) where score > 0""",
+    "index_word_frequencies": f"""select token, cast(count(*) as bigint) as df from (
+      select unnest(list_distinct({_tokens('primarytitle')})) as token from titles_raw where tconst is not null)
+      where token in ('october', 'urgent', 'may', 'specified', 'nowhere') group by token""",
     "ilike_search": "select tconst, primarytitle from titles_raw where primarytitle ilike '%R URG%'",
     "aka_lookup": """select tconst, primarytitle as "primaryTitle" from titles_raw
       where tconst in (select titleid from akas_raw where title = 'Aka 42')""",

@@ -17,6 +17,7 @@ from marquee.operators import integrity as I
 from marquee.operators import normalize as N
 from marquee.operators import search as SE
 from marquee.operators import snapshots as SN
+from marquee.operators import text_index as TI
 from marquee.operators import upsert as U
 from marquee.plans import directors as PD
 from marquee.plans import films as PF
@@ -558,6 +559,61 @@ def token_search_documents(spark, folder):
     return _wide(SE.token_search(docs, "text", "the entre où").select("doc_id", "score"))
 
 
+def _title_index(spark, folder, rows: DataFrame) -> str:
+    ensure_shared_dir(spark)
+    path = shared_path(spark, "title-index")
+    TI.build_index(rows.select("tconst", "primarytitle").filter("tconst is not null"), "tconst", "primarytitle", path)
+    return path
+
+
+def _indexed_titles(spark, folder, path: str, phrase: str) -> DataFrame:
+    keys = TI.phrase_keys(spark, path, phrase).withColumnRenamed("key", "tconst")
+    return V.titles_raw(spark, folder).join(keys, "tconst", "left_semi").select("tconst", "primarytitle")
+
+
+@query
+def index_phrase_search(spark, folder):
+    return _indexed_titles(spark, folder, _title_index(spark, folder, V.titles_raw(spark, folder)), "OCTOBER  urgent")
+
+
+@query
+def index_token_search(spark, folder):
+    titles = V.titles_raw(spark, folder)
+    scores = TI.token_scores(spark, _title_index(spark, folder, titles), "may specified").withColumnRenamed("key", "tconst")
+    return _wide(titles.join(scores, "tconst").select("tconst", "primarytitle", "score"))
+
+
+@query
+def index_token_search_documents(spark, folder):
+    docs = V.table(spark, folder, "documents")
+    ensure_shared_dir(spark)
+    path = shared_path(spark, "document-index")
+    TI.build_index(docs, "doc_id", "text", path)
+    return _wide(TI.token_scores(spark, path, "the entre où").withColumnRenamed("key", "doc_id"))
+
+
+@query
+def index_word_frequencies(spark, folder):
+    path = _title_index(spark, folder, V.titles_raw(spark, folder))
+    return _wide(TI.frequencies(spark, path, ["october", "urgent", "may", "specified", "nowhere"]))
+
+
+@query
+def index_phrase_after_changes(spark, folder):
+    """An index of other titles, brought up to date by two change sets and merged in between."""
+    new = V.titles_raw(spark, folder).select("tconst", "primarytitle").filter("tconst is not null")
+    last = F.substring("tconst", -1, 1)
+    retitled = F.when(last.isin("1", "4"), F.lit("An October urgent day")).otherwise(F.col("primarytitle"))
+    old = new.filter(last != "7").select("tconst", retitled.alias("primarytitle"))
+    old = old.unionByName(new.filter(last == "2").select(F.concat(F.lit("x"), "tconst").alias("tconst"), "primarytitle"))
+    half = old.select("tconst", F.when(last == "1", F.lit("urgent October")).otherwise(F.col("primarytitle")).alias("primarytitle"))
+    path = _title_index(spark, folder, old)
+    TI.update_index(SN.diff(old, half, ["tconst"]), "tconst", "primarytitle", path)
+    TI.merge_runs(spark, path)
+    TI.update_index(SN.diff(half, new, ["tconst"]), "tconst", "primarytitle", path)
+    return _indexed_titles(spark, folder, path, "OCTOBER  urgent")
+
+
 @query
 def ilike_search(spark, folder):
     return SE.ilike_search(V.titles_raw(spark, folder), "primarytitle", "R URG").select("tconst", "primarytitle")
