@@ -92,8 +92,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "spots", lambda s: F.sequence(s["at"], s["at"] + s["len"] - 1)))))
     found = found.select("doc_id", "text_key", places.alias("hit_words"), F.array_sort(F.array_distinct("ids")).alias("ids"))
     rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"),
-                       F.coalesce(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0))
-                       .cast("long").alias("n_words"))
+                       F.size(alnum_words(F.col("text"))).cast("long").alias("n_words"))
     n_hit = F.when(F.col("hit_words").isNull(), F.lit(0)).otherwise(F.size("hit_words")).cast("long")
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     return rows.join(found, same_row(rows, found), "left").select(

@@ -1,9 +1,9 @@
 """Quality classifier: a factorisation machine over hashed words, structure statistics and metadata.
 
 score = sigmoid(w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2)): the pairwise interactions of all
-features at rank ``RANK``, in time linear in the features of a document. The machine is fitted on a bounded, seeded
-sample of labelled documents, whose sparse features (not texts) reach the driver; every document is scored where
-it lies, and the fitted weights are the only thing sent to the tasks.
+features at rank ``RANK``, in time linear in the features of a document. The machine is fitted in one task on the sparse features of a bounded, seeded sample of labelled
+documents; only its weights reach the driver. Every document is scored where it lies, and the weights are the only
+thing sent to the tasks.
 """
 
 from __future__ import annotations
@@ -92,7 +92,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: i
             lengths = np.array([len(rows[i][0]) for i in part])
             starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
             spots = np.concatenate([rows[i][0] for i in part])
-            values = np.concatenate([rows[i][1] for i in part])
+            values = np.concatenate([rows[i][1] for i in part]).astype(np.float64)
             out, sums, xv = _raw_scores(w0, w, v, spots, values, starts)
             err = (1 / (1 + np.exp(-np.clip(out, -30, 30))) - labels[part]) / len(part)
             each = np.repeat(err, lengths)
@@ -136,11 +136,23 @@ def fit_on(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, see
                      pa.array([spots.tolist()], pa.list_(pa.int32())), pa.array([values.tolist()], pa.list_(pa.float32()))],
                     names=["doc_id", "quality", "spots", "values"])
 
-    got = (picked.select(F.col("doc_id").cast("long"), "text", "quality")
-           .mapInArrow(sparse, "doc_id long, quality int, spots array<int>, values array<float>")
-           .orderBy("doc_id", "quality", F.xxhash64("spots", "values")).limit(max_rows).toPandas())
-    rows = [(np.asarray(s, dtype=np.int64), np.asarray(x, dtype=np.float64)) for s, x in zip(got["spots"], got["values"])]
-    return fit(rows, got["quality"].to_numpy(dtype=np.float64))
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, qualities = [], []
+        for b in batches:
+            spots, values = (np.asarray(b.column(k).flatten()) for k in (2, 3))
+            ends = np.cumsum(np.asarray(b.column(2).value_lengths()))
+            rows += [(spots[i:j], values[i:j]) for i, j in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            qualities += b.column(1).to_pylist()
+        w0, w, v = fit(rows, np.array(qualities, dtype=np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array([float(w0)]), pa.array([w.tobytes()]), pa.array([v.tobytes()])], names=["w0", "w", "v"])
+
+    sample = (picked.select(F.col("doc_id").cast("long"), "text", "quality")
+              .mapInArrow(sparse, "doc_id long, quality int, spots array<int>, values array<float>")
+              .orderBy("doc_id", "quality", F.xxhash64("spots", "values")).limit(max_rows))
+    got = sample.coalesce(1).mapInArrow(learn, "w0 double, w binary, v binary").first()  # at most max_rows rows in the task
+    if got is None:
+        return fit([], np.empty(0))
+    return got["w0"], np.frombuffer(got["w"]), np.frombuffer(got["v"]).reshape(N_FEATURES, RANK)
 
 
 def score_documents(docs: DataFrame, machine) -> DataFrame:
