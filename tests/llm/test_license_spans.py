@@ -77,4 +77,5 @@ def test_spans_of_repeated_quotes():
     words = 10
     votes = [(5, list(range(9))), (40, list(range(9)))]
     assert L.verified_spans(votes, words) == [(5, 14, 10), (40, 49, 10)]
-    assert L.verified_spans([(5, [0, 1, 2]), (6, [0, 5, 7])], words) == []
+    assert L.verified_spans([(5, [0, 1, 2]), (6, [0, 5, 7])], words) == [(5, 14, 8)]
+    assert L.verified_spans([(5, [0, 1, 2]), (6, [0, 5])], words) == []
