@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -190,3 +192,8 @@ def size_to_bytes(text: Column) -> Column:
     for i, letter in enumerate("KMGTP", start=1):
         factor = F.when(unit == letter, float(1024**i)).otherwise(factor)
     return F.when(number != "", F.round(number.cast("double") * factor).cast("bigint"))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

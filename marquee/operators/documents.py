@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import columns as X
-from marquee.operators.skew import PAGE_SIZE, paged_lists
+from marquee.operators.skew import PAGE_SIZE, paged_lists, ranked_lists
 from marquee.operators.upsert import collapse_last_non_null
 
 
@@ -98,10 +98,19 @@ def embed(titles: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def embed_principals(
-    titles: DataFrame, principals: DataFrame, characters: str = "json", page_size: int = PAGE_SIZE
+    titles: DataFrame, principals: DataFrame, characters: str = "json", page_size: int = PAGE_SIZE, pages_by: str = "ordering"
 ) -> DataFrame:
-    """Attach the cast arrays, in billing order, one row per title and page."""
+    """Attach the cast arrays, in billing order, one row per title and page.
+
+    ``pages_by`` says what a page is: places of the ``ordering`` (the page of an entry follows from the entry alone),
+    or of the ``rank`` among the title's entries (pages are bounded also where orderings are missing or repeated).
+    """
+    if pages_by not in ("ordering", "rank"):
+        raise ValueError("pages_by must be ordering or rank")
     rows = principals.filter(F.col("tconst").isNotNull())
+    if pages_by == "rank":
+        pages = ranked_lists(rows, "tconst", principal_struct(characters), "principals", page_size, heads=titles)
+        return titles.join(pages, "tconst")
     place = X.digits_or_null(F.col("ordering"), "int")
     pages = paged_lists(rows, "tconst", place, principal_struct(characters), "principals", page_size, heads=titles)
     return titles.join(pages, "tconst")
@@ -115,7 +124,7 @@ def loaded(raw: DataFrame, key: str) -> DataFrame:
 
 def build_documents(
     staging: dict[str, DataFrame], characters: str = "json", page_size: int = PAGE_SIZE,
-    store: Callable[[str, DataFrame], DataFrame] | None = None,
+    store: Callable[[str, DataFrame], DataFrame] | None = None, pages_by: str = "ordering",
 ) -> dict[str, DataFrame]:
     """The three document collections: lazy frames, or written tables with ``store`` (name, frame -> table).
 
@@ -127,7 +136,7 @@ def build_documents(
     titles = embed(titles, crew_part(loaded(staging["title_crew"], "tconst")))
     titles = embed(titles, episode_part(loaded(staging["title_episode"], "tconst")))
     built = {
-        "titles": embed_principals(titles, staging["title_principals"], characters, page_size),
+        "titles": embed_principals(titles, staging["title_principals"], characters, page_size, pages_by),
         "people": people_docs(loaded(staging["name_basics"], "nconst")),
         "akas": aka_docs(staging["title_akas"]),
     }

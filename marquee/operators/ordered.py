@@ -3,6 +3,8 @@
 Rows are dealt to slices by ranges of the whole order (group first), so a slice holds a bounded
 share of the table even where one group, or one value of the first order column, fills most of it.
 Windows run within a slice, and one summary row per slice and group carries the state across slices.
+The slice of a row follows from its own values and a short list of bounds, so a row computed again, for
+a second use or after a lost executor, falls into the same slice and nothing has to be kept.
 """
 
 from __future__ import annotations
@@ -10,16 +12,56 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.functions.columns import let
+
+# Rows drawn for each slice. More draws make the slices more alike in size.
+DRAWS = 20
+DIGIT = 16
+
+
+def order_key(columns: list[str]) -> Column:
+    """The columns as one value that sorts like them, NULL first."""
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)])
 
-def _sliced(df: DataFrame, group: list[str], order: list[str], slices: int | None) -> DataFrame:
-    """``df`` with ``_slice``, the number of the range its row falls into.
 
-    The ranges are drawn when the frame is first used. It is read twice, so it is kept: ranges drawn
-    a second time could differ. A part lost with its executor is dealt again by the same ranges.
+def range_bounds(df: DataFrame, columns: list[str], ranges: int) -> DataFrame:
+    """One row with ``bounds``: at most ``ranges - 1`` sorted keys that cut the rows into ranges of about equal size.
+
+    A uniform draw of ``DRAWS`` keys a range decides: of each hash cell the key with the smallest second hash. Tasks
+    send at most one key a cell, and the draw depends on the rows alone, not on how they are partitioned.
     """
-    by = [*[F.col(g) for g in group], *[F.col(c) for c in order]]
-    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
-    return ranged.withColumn("_slice", F.spark_partition_id()).persist()
+    cells = ranges * DRAWS
+    cell, rank = F.pmod(F.xxhash64(F.lit(1), *columns), F.lit(cells)), F.xxhash64(F.lit(2), *columns)
+    drawn = df.select(order_key(columns).alias("k"), cell.alias("cell"), rank.alias("h")).groupBy("cell").agg(
+        F.min_by("k", "h").alias("k"))
+    keys = drawn.agg(F.sort_array(F.collect_list("k")).alias("ks"))  # at most ``cells`` keys
+    every = F.transform(F.sequence(F.lit(1), F.lit(max(1, ranges - 1))),
+                        lambda i: F.get("ks", F.floor(i * F.size("ks") / ranges).cast("int")))
+    return keys.select(F.array_distinct(F.filter(every, lambda k: k.isNotNull())).alias("bounds"))
+
+
+def range_number(key: Column, bounds: Column, ranges: int) -> Column:
+    """How many of the sorted ``bounds`` (fewer than ``ranges``) are at most ``key``: the number of its range, from 0.
+
+    Found digit by digit, so a row is compared with some sixteen bounds per digit and not with all.
+    """
+    def below(at: Column, list_: Column, step: int) -> Column:
+        passed = F.size(F.filter(F.sequence(F.lit(1), F.lit(DIGIT - 1)), lambda d: F.get(list_, at + d * step - 1) <= key))
+        more = at + passed * step
+        return more if step == 1 else let(more, lambda found: below(found, list_, step // DIGIT))
+
+    top = 1
+    while top * DIGIT < ranges:
+        top *= DIGIT
+    return let(bounds, lambda list_: below(F.lit(0), list_, top))
+
+
+def _sliced(df: DataFrame, group: list[str], order: list[str], slices: int | None) -> DataFrame:
+    """``df`` with ``_slice``, the number of the range its row falls into."""
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = range_bounds(df, [*group, *order], slices)
+    held = df.withColumn("_bounds", bounds.scalar())
+    return held.withColumn("_slice", range_number(order_key([*group, *order]), F.col("_bounds"), slices)).drop("_bounds")
 
 
 def within(

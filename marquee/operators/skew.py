@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators.ordered import within
+
 # Places of an ordering that one nested array covers.
 PAGE_SIZE = 10_000
 
@@ -38,3 +40,23 @@ def paged_lists(
         kind = rows.schema["_e"].dataType
         rows = rows.unionByName(heads.select(key, F.lit(0).cast("bigint").alias("page"), F.lit(None).cast(kind).alias("_e")))
     return rows.groupBy(key, "page").agg(F.sort_array(F.collect_list("_e")).alias(name))
+
+
+def ranked_lists(
+    df: DataFrame, key: str, element: Column, name: str, page_size: int = PAGE_SIZE, heads: DataFrame | None = None,
+    slices: int | None = None,
+) -> DataFrame:
+    """Collect ``element`` (a struct) into sorted arrays of at most ``page_size``, one row per (``key``, ``page``).
+
+    The page follows from the rank of the element among those of its key, in the order of the struct's fields, NULL
+    first. So pages are full and bounded whatever the orderings are: missing, repeated or far apart. Ranks come from
+    slices of the whole order, so no task holds a key; elements that agree in all fields are interchangeable.
+    ``heads`` as in ``paged_lists``.
+    """
+    ranked = within(df.select(F.col(key), element.alias("_e")), [key], ["_e"], number="_n", slices=slices)
+    rows = ranked.select(key, F.floor((F.col("_n") - 1) / page_size).cast("bigint").alias("page"), F.struct("_n", "_e").alias("_e"))
+    if heads is not None:
+        kind = rows.schema["_e"].dataType
+        rows = rows.unionByName(heads.select(key, F.lit(0).cast("bigint").alias("page"), F.lit(None).cast(kind).alias("_e")))
+    pages = rows.groupBy(key, "page").agg(F.sort_array(F.collect_list("_e")).alias("_es"))
+    return pages.select(key, "page", F.transform("_es", lambda e: e["_e"]).alias(name))

@@ -1,19 +1,29 @@
 """Bounded streaming load: files arriving in a folder, upserted chunk by chunk.
 
 Rewriting the whole table for every chunk would cost the table size per chunk. Here a chunk is
-collapsed to one row per key and kept under its batch number; ``fold`` merges all batches with the
-base in one aggregation. Writing a batch again replaces the same folder, so a replayed batch
-changes nothing.
+collapsed to one row per key and kept under its batch number; full levels of batches are folded into runs
+(see ``levels``), and ``fold`` merges runs, later batches and the base in one aggregation. Writing a batch again
+replaces the same folder or one that is in a run already, so a replayed batch changes nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import StructType
 
 from marquee.operators.upsert import collapse_last_non_null
-from marquee.sources.tsv import path_exists
+from marquee.streaming import levels
+
+
+def put_batch(rows: DataFrame, batch_id: int, target: str, keys: list[str], order: list[str], fan_out: int = levels.FAN_OUT) -> None:
+    """Write one batch, one row per key, and fold the levels it fills."""
+    target = target.rstrip("/")
+    placed = collapse_last_non_null(rows.dropna(subset=keys), keys, order)
+    placed.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+    levels.compact(rows.sparkSession, target, rows.schema, keys, fan_out)
 
 
 def start_ingest(
@@ -23,9 +33,7 @@ def start_ingest(
     target = target.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropna(subset=keys)
-        placed = collapse_last_non_null(rows, keys, order)
-        placed.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        put_batch(batch, batch_id, target, keys, order)
 
     return (
         stream.writeStream.foreachBatch(write_batch)
@@ -48,21 +56,13 @@ def file_stream(
 def fold(spark: SparkSession, target: str, schema: StructType, keys: list[str], base: DataFrame | None = None) -> DataFrame:
     """Base and all batches as one table: per column the last non-null value, later batches first."""
     names = schema.fieldNames()
-    target = target.rstrip("/")
-    parts = []
+    parts = [levels.stacked_runs(spark, target, levels.live_runs(spark, target), schema)]
     if base is not None:
         parts.append(base.select(*names).withColumn("_batch", F.lit(-1).cast("bigint")))
-    if path_exists(spark, f"{target}/batch=*"):
-        full = StructType([*schema.fields]).add("batch", LongType())
-        parts.append(spark.read.schema(full).parquet(target).withColumnRenamed("batch", "_batch").select(*names, "_batch"))
+    parts = [p for p in parts if p is not None]
     if not parts:
         return spark.createDataFrame([], schema)
-    stacked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    values = [n for n in names if n not in keys]
-    picks = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct("_batch", F.col(c).alias("v"))))["v"].alias(c) for c in values
-    ]
-    return stacked.groupBy(*keys).agg(*picks).select(*names)
+    return levels.last_values(reduce(DataFrame.unionByName, parts), keys, names)
 
 
 def ingest(
