@@ -177,7 +177,7 @@ def top_rated_details(titles: DataFrame, people: DataFrame, min_votes: int = 100
     )
 
 
-def _name_late(counts: DataFrame, people: DataFrame, n: int, order: list[Column]) -> DataFrame:
+def name_late(counts: DataFrame, people: DataFrame, n: int, order: list[Column]) -> DataFrame:
     """Order and limit the counts, then fetch the names of the ``n`` ids left.
 
     Both uses of the ranking share one shuffle of the counts, and people are read without one.
@@ -194,7 +194,7 @@ def top_directors(titles: DataFrame, people: DataFrame, n: int = 1, films_only:
         rows = rows.filter(F.col("titleType") == "movie")
     listed = rows.filter(F.size("crew.directors") > 0).select(F.explode("crew.directors").alias("nconst"))
     counts = listed.groupBy("nconst").agg(F.count(F.lit(1)).alias("cantidad"))
-    top = _name_late(counts, people, n, [F.desc("cantidad"), F.asc("nconst")])
+    top = name_late(counts, people, n, [F.desc("cantidad"), F.asc("nconst")])
     return top.select("nconst", F.col("primaryName").alias("nombre_director"), F.col("cantidad").alias("cantidad_obras"))
 
 
@@ -207,7 +207,7 @@ def top_actors(
     rows = rows.filter(F.exists("principals", lambda p: p["category"].isin(*wanted)))
     entries = rows.select(F.explode("principals").alias("p")).filter(F.col("p.category").isin(*wanted))
     counts = entries.groupBy(F.col("p.nconst").alias("nconst")).agg(F.count(F.lit(1)).alias("cantidad"))
-    top = _name_late(counts, people, n, [F.desc("cantidad"), F.asc("nconst")])
+    top = name_late(counts, people, n, [F.desc("cantidad"), F.asc("nconst")])
     return top.select("nconst", F.col("primaryName").alias("nombre_actor"), F.col("cantidad").alias("cantidad_apariciones"))
 
 
@@ -222,5 +222,5 @@ def top_actors_flat(
     titles = basics.filter(F.col("titletype") == "movie") if films_only else basics
     entries = entries.join(titles.select("tconst"), "tconst", "left_semi")
     counts = entries.groupBy("nconst").agg(F.count(F.lit(1)).alias("cantidad"))
-    top = _name_late(counts, people, n, [F.desc("cantidad"), F.asc("nconst")])
+    top = name_late(counts, people, n, [F.desc("cantidad"), F.asc("nconst")])
     return top.select("nconst", F.col("primaryName").alias("nombre_actor"), F.col("cantidad").alias("cantidad_apariciones"))

@@ -185,6 +185,10 @@ DIFF = """select case when o.o_orderkey is null then 'insert' when n.o_orderkey
   where o.o_orderkey is null or n.o_orderkey is null or o.o_custkey is distinct from n.o_custkey
     or o.o_orderstatus is distinct from n.o_orderstatus or o.o_totalprice is distinct from n.o_totalprice"""
 
+RANKED_PEOPLE = """select c.nconst, p.primaryname as nombre, c.cantidad from (
+    select nconst, count(*) as cantidad from {src} group by nconst order by cantidad desc, nconst limit 25) c
+  left join names_raw p on p.nconst = c.nconst"""
+
 NAME_TRIGRAMS = f"select tconst, primarytitle, {_trigrams('primarytitle')} as g from titles_raw"
 PART_TRIGRAMS = f"select p_partkey, p_name, {_trigrams('p_name')} as g from part"
 
@@ -219,6 +223,15 @@ def _embed_principals(size: int) -> str:
       c.nconst, c.category, c.job, c.roles as characters from titles_raw t join {_paged(size)} c on c.tconst = t.tconst"""
 
 
+def _ranked_principals(size: int) -> str:
+    """Cast rows without an ordering or with a repeated one, paged by their rank in the title."""
+    return f"""select t.tconst, (c.r - 1) // {size} as page, (c.r - 1) % {size} as pos, t.titletype as "titleType", cast(c.place as bigint) as ordering,
+      c.nconst, c.category, c.job, c.roles as characters from titles_raw t join (
+        select *, row_number() over (partition by tconst order by place nulls first, nconst, category, job nulls first, roles) as r
+        from (select *, case ordering % 3 when 0 then null when 1 then 9 else ordering end as place from cast_rows)) c
+      on c.tconst = t.tconst"""
+
+
 def _title_documents(size: int) -> str:
     return f"""select t.tconst, p.page, titletype as "titleType", startyear as "startYear", genres, votes,
       case when has_crew then cast(coalesce(len({_list('directors')}), 0) as bigint) end as directors,
@@ -320,6 +333,7 @@ BODIES = {
                   "case when has_crew then coalesce(writers, '') end as writers from title_doc",
     "embed_principals": _embed_principals(10_000),
     "embed_principals_paged": _embed_principals(3),
+    "embed_principals_ranked": _ranked_principals(3),
     "title_documents": _title_documents(10_000),
     "title_documents_paged": _title_documents(3),
     "documents_loaded_twice": _title_documents(10_000),
@@ -363,6 +377,8 @@ BODIES = {
     "top_directors": TOP.format(cols=DIRECTOR_COLS, src="directing", n=1),
     "top_directors_films": TOP.format(
         cols=DIRECTOR_COLS, n=1, src="(select d.nconst from directing d join titles_raw t on t.tconst = d.tconst where t.titletype = 'movie')"),
+    "maintained_directors": RANKED_PEOPLE.format(src="directing"),
+    "maintained_actors": RANKED_PEOPLE.format(src="(select p.nconst from principals_raw p join titles_raw t on t.tconst = p.tconst where category in ('actor', 'actress'))"),
     "top_actors": TOP.format(cols=ACTOR_COLS, n=10, src="(select p.nconst from principals_raw p join titles_raw t on t.tconst = p.tconst where category in ('actor', 'actress'))"),
     "top_actors_films": TOP.format(cols=ACTOR_COLS, n=10, src="(select p.nconst from principals_raw p join titles_raw t on t.tconst = p.tconst where category = 'actor' and t.titletype = 'movie')"),
     "top_actors_staging": TOP.format(cols=ACTOR_COLS, n=10, src="(select p.nconst from principals_raw p join titles_raw t on t.tconst = p.tconst where category in ('actor', 'actress'))"),
@@ -424,6 +440,10 @@ BODIES = {
         """(select user_id, ts, event_id, case when event_type <> 'error' then event_type end as event_type,
         case when value > 0 then cast(floor(value) as bigint) end as value from events)""",
         "user_id", ["ts", "event_id"], ["event_id", "event_type", "value"]),
+    "stream_levels": _collapse(
+        """(select user_id, ts, event_id, event_id % 10 as batch, case when event_type <> 'error' then event_type end as event_type,
+        case when value > 0 then cast(floor(value) as bigint) end as value from events)""",
+        "user_id", ["batch", "ts", "event_id"], ["event_id", "event_type", "value"]),
     "pk_duplicates": "select tconst, ordering, count(*) as rows from principals_raw group by 1, 2 having count(*) > 1",
     "null_violations": " union all ".join(
         f"select '{c}' as column, count(*) filter ({c} is null) as rows from titles_raw" for c in ["tconst", "startyear", "endyear", "genres"]),
@@ -463,6 +483,9 @@ BODIES = {
             ("orders", 6), ("lineitem", 11), ("part", 6), ("customer", 5), ("supplier", 4), ("nation", 3), ("region", 2),
             ("events", 6), ("documents", 5), ("pages", 3), ("embeddings", 3), ("benchmark", 2), ("labels", 3), ("conversations", 4)]),
     "snapshot_diff": DIFF.format(cents=_cents("n.o_totalprice")),
+    "digest_diff": DIFF.format(cents=_cents("n.o_totalprice")),
+    "unchanged_versions": f"""select 'same' as version, false as changed
+      union all select 'new', count(*) > 0 from ({DIFF.format(cents=_cents('n.o_totalprice'))})""",
     "apply_changes": f"select o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} as o_totalprice from new_v",
     "rebuild_chain": f"select o_orderkey, o_custkey, o_orderstatus, {_cents('o_totalprice')} as o_totalprice from new_v where o_orderstatus <> 'O'",
     "restore_as_of": """select user_id, event_type, cast(floor(value) as bigint) as value, event_id from (

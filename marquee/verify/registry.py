@@ -12,9 +12,11 @@ from marquee import schemas as S
 from marquee.functions import columns as X
 from marquee.operators import backups as B
 from marquee.operators import clean as C
+from marquee.operators import digests as DG
 from marquee.operators import documents as D
 from marquee.operators import integrity as I
 from marquee.operators import normalize as N
+from marquee.operators import rankings as RK
 from marquee.operators import search as SE
 from marquee.operators import snapshots as SN
 from marquee.operators import text_index as TI
@@ -314,6 +316,15 @@ def embed_principals_paged(spark, folder):
     return _unfolded(D.embed_principals(base, V.principals_raw(spark, folder), page_size=3))
 
 
+@query
+def embed_principals_ranked(spark, folder):
+    """Cast entries without an ordering, or with one that repeats, in pages of three."""
+    cast = V.principals_raw(spark, folder)
+    line = F.col("ordering").cast("int")
+    cast = cast.withColumn("ordering", F.when(line % 3 == 0, None).when(line % 3 == 1, F.lit("9")).otherwise(F.col("ordering")))
+    return _unfolded(D.embed_principals(D.title_base(V.titles_raw(spark, folder)), cast, page_size=3, pages_by="rank"))
+
+
 @query
 def embed_episode(spark, folder):
     docs = _title_docs(spark, folder, "episode")
@@ -533,6 +544,52 @@ def top_actors_staging(spark, folder):
     return PF.top_actors_flat(V.titles_raw(spark, folder), V.principals_raw(spark, folder), _people_docs(spark, folder))
 
 
+def _maintained(spark, versions: list[DataFrame], keys: list[str], entries) -> DataFrame:
+    """Counts of the first version, moved by the change set of each later one; stored after every step."""
+    ensure_shared_dir(spark)
+    counts = RK.recount(versions[0], entries)
+    for step, (old, new) in enumerate(zip(versions, versions[1:])):
+        change = RK.deltas(SN.diff(old, new, keys), old, keys, entries)
+        path = shared_path(spark, f"counts-{step}")
+        RK.moved(counts, change).write.parquet(path)
+        counts = spark.read.parquet(path)
+    return counts
+
+
+@query
+def maintained_directors(spark, folder):
+    """The directors' ranking after two change sets: titles that come, that go and that change directors."""
+    new = V.crew_raw(spark, folder).select("tconst", "directors").filter("tconst is not null")
+    last = F.substring("tconst", -1, 1)
+    other = F.when(last.isin("2", "5"), F.lit("nm0000001,nm0000002")).otherwise(F.col("directors"))
+    first = new.filter(last != "7").select("tconst", other.alias("directors")).unionByName(
+        new.filter(last == "3").select(F.concat(F.lit("x"), "tconst").alias("tconst"), "directors"))
+    half = first.filter("tconst not like 'x%' or tconst like '%13'")
+
+    def entries(rows: DataFrame) -> DataFrame:
+        return rows.filter("directors is not null").select(F.explode(X.split_list(F.col("directors"))).alias("nconst"))
+
+    counts = _maintained(spark, [first, half, new], ["tconst"], entries)
+    return _wide(RK.top(counts, _people_docs(spark, folder), 25))
+
+
+@query
+def maintained_actors(spark, folder):
+    """The actors' ranking from title documents, of which some lose their cast and some are new."""
+    docs = D.embed_principals(D.title_base(V.titles_raw(spark, folder)).select("tconst"), V.principals_raw(spark, folder))
+    docs = docs.select("tconst", "page", "principals")
+    last = F.substring("tconst", -1, 1)
+    none = F.slice("principals", 1, 0)
+    first = docs.filter(last != "4").withColumn("principals", F.when(last == "8", none).otherwise(F.col("principals")))
+
+    def entries(rows: DataFrame) -> DataFrame:
+        billed = rows.select(F.explode("principals").alias("p"))
+        return billed.filter(F.col("p.category").isin(*PF.ACTING)).select("p.nconst")
+
+    counts = _maintained(spark, [first, docs], ["tconst", "page"], entries)
+    return _wide(RK.top(counts, _people_docs(spark, folder), 25))
+
+
 # --- search ----------------------------------------------------------------------------------
 
 
@@ -725,6 +782,19 @@ def stream_upsert(spark, folder):
     return out.select("user_id", "event_id", "event_type", "value")
 
 
+@query
+def stream_levels(spark, folder):
+    """events in ten batches, folded level by level as they come; the first three come twice."""
+    ensure_shared_dir(spark)
+    rows = V.table(spark, folder, "events").select(
+        "user_id", "ts", "event_id", F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type"),
+        F.when(F.col("value") > 0, F.floor("value").cast("bigint")).alias("value"))
+    target = shared_path(spark, "levels")
+    for batch in [*range(10), 0, 1, 2]:
+        ST.put_batch(rows.filter(F.col("event_id") % 10 == batch), batch, target, ["user_id"], ["ts", "event_id"], fan_out=3)
+    return ST.fold(spark, target, rows.schema, ["user_id"]).select("user_id", "event_id", "event_type", "value")
+
+
 # --- integrity -------------------------------------------------------------------------------
 
 
@@ -816,6 +886,31 @@ def snapshot_diff(spark, folder):
     return _priced(SN.diff(V.old_version(spark, folder), V.new_version(spark, folder), ["o_orderkey"]))
 
 
+def _stored_versions(spark, folder) -> tuple[str, str, str]:
+    """The old version, a copy of it and the new one, stored with their digests."""
+    ensure_shared_dir(spark)
+    old, same, new = (shared_path(spark, f"version-{n}") for n in ("old", "same", "new"))
+    DG.write_version(V.old_version(spark, folder), ["o_orderkey"], old)
+    DG.write_version(V.old_version(spark, folder), ["o_orderkey"], same, follows=old)
+    DG.write_version(V.new_version(spark, folder), ["o_orderkey"], new, follows=old)
+    return old, same, new
+
+
+@query
+def digest_diff(spark, folder):
+    """The change set between stored versions, joined in the differing key ranges only."""
+    old, _, new = _stored_versions(spark, folder)
+    return _priced(DG.diff_versions(spark, old, new, ["o_orderkey"]))
+
+
+@query
+def unchanged_versions(spark, folder):
+    """Whether a version differs from the old one, from the roots of their digest trees."""
+    old, same, new = _stored_versions(spark, folder)
+    found = [(name, not DG.unchanged(spark, old, path)) for name, path in (("same", same), ("new", new))]
+    return spark.createDataFrame(found, "version string, changed boolean")
+
+
 @query
 def apply_changes(spark, folder):
     old, new = V.old_version(spark, folder), V.new_version(spark, folder)
