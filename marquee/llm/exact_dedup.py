@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import SPACE_CLASS
+from marquee.llm.common import SPACE_CLASS, materialise, text_key
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -101,7 +101,7 @@ class CuckooIndex:
         raise AssertionError("a live digest has no tag")
 
 
-ENTRY = "digest binary, n_chars long, keep_id long, group_size long"
+ENTRY = "digest binary, n_chars long, keep_id long, keep_text long, keep_row long, group_size long"
 
 
 def normal_text(text: Column) -> Column:
@@ -114,24 +114,24 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.sha2(normal_text(text), 256))
 
 
-def _better(a: tuple, b: tuple) -> tuple:
-    """More characters, then the smaller id; a null id comes after all others."""
-    rank_a = (-a[0], a[1] is None, a[1] or 0)
-    rank_b = (-b[0], b[1] is None, b[1] or 0)
-    return a if rank_a <= rank_b else b
+def _rank(entry: tuple) -> tuple:
+    """More characters, then the smaller id, a null id behind all others; rows that repeat an id by text and row number."""
+    chars, keep, text, row = entry[:4]
+    return -chars, keep is None, keep or 0, text, row
 
 
 def _elect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries of one task, one per live digest."""
     index = CuckooIndex()
     for batch in batches:
-        for digest, chars, keep, size in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        columns = [batch.column(i).to_pylist() for i in range(6)]
+        for digest, *entry, size in zip(*columns):
             live = index.find(digest)
             if live is None:
-                index.set(digest, (chars, keep, size))
+                index.set(digest, (*entry, size))
             else:
-                best = _better(live, (chars, keep))
-                index.set(digest, (best[0], best[1], live[2] + size))
+                best = min(live[:4], tuple(entry), key=_rank)
+                index.set(digest, (*best, live[4] + size))
     yield from _entries(index)
 
 
@@ -142,16 +142,16 @@ def _entries(index: CuckooIndex, rows: int = 20_000) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([d for d, _ in part], pa.binary()),
-                *(pa.array([p[i] for _, p in part], pa.int64()) for i in range(3)),
+                *(pa.array([p[i] for _, p in part], pa.int64()) for i in range(5)),
             ],
-            names=["digest", "n_chars", "keep_id", "group_size"],
+            names=[f.split()[0] for f in ENTRY.split(", ")],
         )
 
 
 def build_index(rows: DataFrame) -> DataFrame:
-    """One entry (digest, n_chars, keep_id, group_size) per distinct digest of rows (doc_id, digest, n_chars)."""
+    """One entry (as ENTRY) per distinct digest of rows (digest, n_chars, doc_id, text_key, row)."""
     entries = rows.select("digest", F.col("n_chars").cast("long"), F.col("doc_id").cast("long").alias("keep_id"),
-                          F.lit(1).cast("long").alias("group_size"))
+                          F.col("text_key").alias("keep_text"), F.col("row").alias("keep_row"), F.lit(1).cast("long").alias("group_size"))
     local = entries.mapInArrow(_elect, ENTRY)
     return local.repartition("digest").mapInArrow(_elect, ENTRY)
 
@@ -200,14 +200,16 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
 
     Reads ``doc_id`` and ``text`` and ignores all other columns. Returns doc_id, keep_id, group_size, kept,
     text_sha256. Of equal texts the one with the most code points stays, then the smallest doc_id (a null id last).
-    Null texts count as empty and equal each other. Rows that repeat a doc_id and a text share one decision, and
-    each counts in group_size; an empty table gives an empty result.
+    Null texts count as empty and equal each other. Exactly one row of a group stays: of rows that repeat the id one
+    text's, and of rows that repeat both any one, as they are alike; each counts in group_size. An empty table gives an
+    empty result.
     """
-    rows = docs.select("doc_id", text_digest(F.col("text")).alias("digest"),
-                       F.length(F.coalesce("text", F.lit(""))).alias("n_chars"))
-    index = build_index(rows).select("digest", "keep_id", "group_size")
-    return rows.select("doc_id", "digest").join(index, "digest").select(
-        "doc_id", "keep_id", "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+    # Row numbers must not change between the two uses: lean rows, written once.
+    rows = materialise(docs.select("doc_id", text_digest(F.col("text")).alias("digest"), text_key(F.col("text")).alias("text_key"),
+                                   F.length(F.coalesce("text", F.lit(""))).alias("n_chars"),
+                                   F.monotonically_increasing_id().alias("row")))
+    index = build_index(rows).select("digest", "keep_id", "keep_row", "group_size")
+    return rows.select("doc_id", "digest", "row").join(index, "digest").select(
+        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )

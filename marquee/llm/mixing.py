@@ -135,7 +135,7 @@ def _fill(sizes: list[int], chosen: list, room: list[list], steps: int = 8) -> N
 
 def _place(table: pa.Table) -> pa.Table:
     """Documents of one bucket, in seeded order, to the shares that reach into it: first fit, then nearest."""
-    table = table.take(pc.sort_indices(table, sort_keys=[("order", "ascending"), ("doc_id", "ascending")]))
+    table = table.take(pc.sort_indices(table, sort_keys=[("order", "ascending"), ("row_hash", "ascending")]))
     room = [list(x) for x in zip(table["shares"][0].as_py(), table["rooms"][0].as_py())]
     chosen: list = [None] * table.num_rows
     rest = []
@@ -157,10 +157,10 @@ def _place(table: pa.Table) -> pa.Table:
 def select_documents(rows: DataFrame, shares: DataFrame, repetition: int, n_buckets: Column, seed: int) -> DataFrame:
     """Adds ``given_<repetition>``: the share (its number) that takes the document in this repetition, or null.
 
-    ``rows`` has pattern, doc_id, size; ``shares`` has pattern, share, lo, hi, the part of the pattern's
+    ``rows`` has pattern, row_hash, size; ``shares`` has pattern, share, lo, hi, the part of the pattern's
     seeded order that belongs to the share.
     """
-    order = F.xxhash64(F.lit(seed), F.lit(repetition), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size")
+    order = F.xxhash64(F.lit(seed), F.lit(repetition), "row_hash")
     rows = rows.withColumn("order", order).withColumn("bucket", F.pmod(F.col("order"), n_buckets))
     sums = rows.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
     span = W.partitionBy("pattern").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -186,8 +186,9 @@ def mix(rows: DataFrame, targets: dict, repeats: int = 2, seed: int = 7,
     ``rows`` has doc_id, size (words, not negative) and sources (array of the sources it belongs to; a null
     element is a source of its own); ``targets`` gives words wanted by source. ``patterns`` may hand over
     ``pattern_sums(rows)`` where the caller has them. No document is taken more than ``repeats`` times, and a source
-    whose patterns cannot fill its target gets all they have. The same rows and seed give the same mix. Documents
-    without words are never taken; rows that repeat an id are documents of their own; an empty table gives
+    whose patterns cannot fill its target gets all they have. The same rows and seed give the same mix, however they are
+    partitioned. Documents without words are never taken; rows that repeat an id are documents of their own, and rows
+    that agree in all columns are interchangeable and lie in one bucket; an empty table gives
     an empty result.
     """
     spark = rows.sparkSession
@@ -195,7 +196,9 @@ def mix(rows: DataFrame, targets: dict, repeats: int = 2, seed: int = 7,
     flows = route([(members, size) for _, members, size, _ in sums], targets, repeats)
     names = list(targets)
     number = {s: i for i, s in enumerate(names)}
-    rows = rows.withColumn("pattern", pattern_key(F.col("sources")))
+    # A row's place in the seeded order follows from all its columns, so rows that repeat an id and a size keep theirs in a rerun.
+    own = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])))
+    rows = rows.withColumn("pattern", pattern_key(F.col("sources"))).withColumn("row_hash", own)
     counts = spark.createDataFrame([(p, max(1, -(-n // DOCS_PER_BUCKET))) for p, _, _, n in sums] or [("", 1)],
                                    "pattern string, n_buckets long")
     rows = rows.join(F.broadcast(counts), "pattern")  # at most MAX_PATTERNS rows, checked in pattern_sums
@@ -213,7 +216,7 @@ def mix(rows: DataFrame, targets: dict, repeats: int = 2, seed: int = 7,
     served = F.filter(F.array(*given), lambda g: g.isNotNull())
     return (rows.withColumn("copies", copies)
             .withColumn("served", F.transform(served, lambda g: F.get(F.array(*[F.lit(s).cast("string") for s in names]), g)))
-            .drop("pattern", "n_buckets", *[f"given_{r}" for r in range(repeats)]))
+            .drop("pattern", "row_hash", "n_buckets", *[f"given_{r}" for r in range(repeats)]))
 
 
 def pattern_key(sources: Column) -> Column:
@@ -268,7 +271,8 @@ def mix_sources(docs: DataFrame, seed: int = 7) -> DataFrame:
 def _row_keys(docs: DataFrame) -> list[Column]:
     """Two hashes over all columns; rows that agree in them are the same."""
     columns = [F.col(f"`{c}`") for c in sorted(docs.columns)]
-    return [F.xxhash64(*columns).alias("row_key"), F.xxhash64(F.lit(1), *columns).alias("row_key2")]
+    nulls = F.array(*[c.isNull() for c in columns])  # a hash passes over a NULL, so its place must count
+    return [F.xxhash64(*columns, nulls).alias("row_key"), F.xxhash64(nulls, *columns).alias("row_key2")]
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:

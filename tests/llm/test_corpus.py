@@ -122,6 +122,21 @@ def test_mix_of_overlapping_sources(spark):
     assert all(abs(served[s] - t) < 0.01 * t + 20 for s, t in targets.items())
 
 
+def test_mix_of_repeated_ids_is_the_same_in_any_partitioning(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(50), " ".join(rng.choices("abcdefgh", k=rng.randrange(1, 6))), rng.choice(["x", "y", None]), i) for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n int")
+    mixes = [Counter(tuple(r) for r in mixing.mixed_documents(df.repartition(n)).collect()) for n in (1, 3, 8)]
+    assert mixes[0] == mixes[1] == mixes[2]
+
+
+def test_rows_that_differ_in_the_place_of_a_null_are_two(spark):
+    rows = [(1, "a b", None, "z"), (1, "a b", "z", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    keys = {(r["row_key"], r["row_key2"]) for r in mixing.mix_sources(df).collect()}
+    assert len(keys) == 2
+
+
 def test_mix_edge_cases(odd, none):
     rows = mixing.mix_sources(odd).collect()
     assert len(rows) == len(odd_rows()) and mixing.mix_sources(none).collect() == []

@@ -36,14 +36,17 @@ def test_cuckoo_index_against_a_dict():
 
 
 def exact_brute(rows):
-    groups = defaultdict(list)
-    for i, t in rows:
-        groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")].append((-len(t or ""), i is None, i))
+    groups = {}
+    for place, (i, t) in enumerate(rows):
+        text = t or ""
+        norm = re.sub(r"[\x20\x09-\x0D]", "", text)
+        groups.setdefault(norm, []).append((-len(text), i is None, i or 0, place))
     out = []
-    for i, t in rows:
-        g = groups[re.sub(r"[\x20\x09-\x0D]", "", t or "")]
-        keep = min(g, key=lambda x: (x[0], x[1], x[2] or 0))[2]
-        out.append((i, keep, len(g), i == keep, hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t or "").encode()).hexdigest()))
+    for norm, members in groups.items():
+        first = min(members)  # one row stays, also where rows repeat its id
+        keep = rows[first[3]][0]
+        digest = hashlib.sha256(norm.encode()).hexdigest()
+        out += [(rows[m[3]][0], keep, len(members), m == first, digest) for m in members]
     return sorted(out, key=str)
 
 
@@ -54,6 +57,14 @@ def test_exact_dedup(table, request):
     assert got == exact_brute(pairs(docs))
 
 
+def test_one_row_of_a_repeated_id_stays(spark):
+    docs = documents(spark, [(1, "a b"), (1, "a b"), (1, "a  b"), (2, "ab"), (2, "c"), (2, "c")])
+    for n in (1, 3, 7):
+        got = exact_dedup.exact_dedup(docs.repartition(n)).collect()
+        kept = sorted((r["doc_id"], r["group_size"]) for r in got if r["kept"])
+        assert kept == [(1, 4), (2, 2)] and {r["keep_id"] for r in got} == {1, 2}
+
+
 def test_maintained_index(spark):
     docs = lambda *t: documents(spark, [(i, x) for i, x in enumerate(t)])
     empty = spark.createDataFrame([], "digest binary, n_docs long")
