@@ -64,7 +64,7 @@ def similar_to_terms(
 
     met = tried.join(asked, "_gram").where(
         (F.col("_m") >= least_shared(F.col("_n"), threshold)) & (F.col("_n") >= least_shared(F.col("_m"), threshold))
-        & (1 + F.least(F.size("_h") - F.col("_i"), F.size("_w") - F.col("_j")) - 1 >= least_common("_n", "_m", threshold))
+        & (F.least(F.size("_h") - F.col("_i"), F.size("_w") - F.col("_j")) >= least_common("_n", "_m", threshold))
         & (F.get(F.array_intersect("_p", "_q"), F.lit(0)) == F.col("_gram")))  # a pair counts where it meets first
     shared = F.size(F.array_intersect("_h", "_w"))
     similarity = shared / (F.col("_n") + F.col("_m") - shared)

@@ -40,7 +40,7 @@ def last_values(stacked: DataFrame, keys: list[str], names: list[str]) -> DataFr
 
 
 def _complete(spark: SparkSession, target: str, pattern: str) -> dict[int, str]:
-    """Number -> folder of the finished writes that match ``pattern``, a path that ends in ``=*``."""
+    """Number -> folder of the finished writes (those with the ``_SUCCESS`` marker Spark leaves by default) that match ``pattern``, a path that ends in ``=*``."""
     done = [p[: -len("/_SUCCESS")] for p in list_paths(spark, f"{target}/{pattern}/_SUCCESS")]
     return {int(re.search(r"=(-?\d+)$", p).group(1)): p for p in done}
 
