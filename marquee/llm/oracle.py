@@ -20,16 +20,21 @@ ORACLE = {
 with lines as (
   select doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 as pos, unnest(string_split(text, chr(10))) as line
   from documents where text is not null
-), runs as (
-  select doc_id, pos, line, lead(line, 1) over w as l1, lead(line, 2) over w as l2, lead(pos, 2) over w as last
+), ahead as (
+  select doc_id, pos, line, lead(line, 1) over w as l1, lead(line, 2) over w as l2
   from lines window w as (partition by doc_id order by pos)
+), runs as (
+  select doc_id, pos, 3 as n, line, l1, l2 from ahead where l2 is not null
+  union all select doc_id, pos, 2, line, l1, null from ahead where l1 is not null and length(line) + length(l1) >= 200
+  union all select doc_id, pos, 1, line, null, null from ahead where length(line) >= 200
 ), firsts as (
-  select line, l1, l2, min(struct_pack(doc_id := doc_id, pos := pos)) as f from runs where last is not null group by all
+  select n, line, l1, l2, min(struct_pack(doc_id := doc_id, pos := pos)) as f from runs group by all
 ), later as (
-  select r.doc_id, r.pos from runs r join firsts f on r.line = f.line and r.l1 = f.l1 and r.l2 = f.l2
-  where r.last is not null and (r.doc_id <> f.f.doc_id or f.f.pos + 3 <= r.pos)
+  select r.doc_id, r.pos, r.n from runs r join firsts f
+  on r.n = f.n and r.line = f.line and r.l1 is not distinct from f.l1 and r.l2 is not distinct from f.l2
+  where r.doc_id <> f.f.doc_id or f.f.pos + r.n <= r.pos
 ), gone as (
-  select distinct doc_id, pos + k as pos from later, (values (0), (1), (2)) t(k)
+  select distinct doc_id, pos + k as pos from later, (values (0), (1), (2)) t(k) where k < n
 ), heads as (
   select doc_id, count(*) as n_runs from gone g
   where not exists (select 1 from gone h where h.doc_id = g.doc_id and h.pos = g.pos - 1) group by doc_id

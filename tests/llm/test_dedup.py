@@ -77,15 +77,18 @@ def test_maintained_index(spark):
 
 # ---- line dedup
 
-def lines_brute(rows, run=3):
+def lines_brute(rows, run=3, long=200):
     ordered = sorted({(i is None, i or 0, i, t) for i, t in rows if t is not None}, key=lambda x: (x[0], x[1], x[3]))
     first, result = {}, {}
     for *_, i, t in ordered:
         lines, gone = t.split("\n"), set()
-        for at in range(len(lines) - run + 1):
-            where = first.setdefault(tuple(lines[at:at + run]), (i, t, at))
-            if where[:2] != (i, t) or where[2] + run <= at:
-                gone |= set(range(at, at + run))
+        for n in range(1, run + 1):
+            for at in range(len(lines) - n + 1):
+                if n < run and sum(map(len, lines[at:at + n])) < long:
+                    continue
+                where = first.setdefault(tuple(lines[at:at + n]), (i, t, at))
+                if where[:2] != (i, t) or where[2] + n <= at:
+                    gone |= set(range(at, at + n))
         result[i, t] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), len(gone),
                         sum(k - 1 not in gone for k in gone))
     return sorted([(i, *result.get((i, t), (None, 0, 0, 0))) for i, t in rows], key=str)
@@ -104,6 +107,31 @@ def test_later_run_goes_and_first_stays(spark):
     assert got == {1: "a\nb\nc\nd", 2: "x\ny", 3: "a\nb\ny"}
 
 
+def test_one_long_line_goes_where_it_stands_again(spark):
+    long = prose(random.Random(8), 60)
+    assert len(long) >= line_dedup.LONG
+    rows = [(1, long), (2, long), (3, f"head\n{long}\ntail"), (4, f"{long}\nshort"), (5, f"x\n{long}\nshort"), (6, "head\ntail")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(documents(spark, rows)).collect()}
+    assert got == {1: long, 2: "", 3: "head\ntail", 4: "short", 5: "x", 6: "head\ntail"}
+
+
+def test_line_matches_of_every_length(spark):
+    """Passages of 1 to 9 lines from a small stock, at random places: equal to all runs compared with all."""
+    rng = random.Random(12)
+    stock = [[rng.choice(["", "a", "b", "c" * 90, "d" * 150, "e" * 201, str(rng.randrange(20))]) for _ in range(9)] for _ in range(12)]
+    rows = []
+    for i in range(120):
+        lines = []
+        for _ in range(rng.randrange(1, 6)):
+            s, a = rng.choice(stock), rng.randrange(9)
+            lines += [str(rng.random()) for _ in range(rng.randrange(3))] + s[a:a + rng.randrange(1, 9)]
+        rows.append((i if i else None, "\n".join(lines)))
+    rows += rng.sample(rows, 5)  # repeated rows are one document
+    for run, gram in ((3, 2), (5, 3), (2, 1)):
+        got = line_dedup.dedup_lines(documents(spark, rows).repartition(3), run, gram).collect()
+        assert sorted(map(tuple, got), key=str) == lines_brute(rows, run)
+
+
 # ---- substring dedup
 
 def brute_starts(symbols, length):
