@@ -95,3 +95,76 @@ def profile(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
         )
     stacked = reduce(DataFrame.unionByName, parts)
     return stacked.withColumn("size", readable_size(F.col("bytes"))).orderBy(F.desc("bytes"), "table")
+
+
+NUMBERS = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+
+
+def column_profile(spark: SparkSession, paths: dict[str, str], footers: bool = True) -> DataFrame:
+    """(table, column, rows, nulls, low, high): each top-level column of Parquet tables, from the footers of their files.
+
+    Counts, minima and maxima are pushed down to the file statistics, one footer a file read by tasks; no column is read.
+    Bounds are those of numbers, as double (footers cut texts short), NULL for others; nested columns are left out.
+    Writers leave bounds out where a row group holds only NULLs of a column, or a NaN; Spark then stops with an error, and
+    ``footers=False`` scans the columns instead. The settings belong to a session of its own, the caller's stay as they are.
+    """
+    own = spark.newSession()
+    if footers:
+        own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+        own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    parts = []
+    for name, path in paths.items():
+        df = own.read.parquet(path)
+        flat = [(c, kind in NUMBERS) for c, kind in df.dtypes if not kind.startswith(("array", "map", "struct", "variant"))]
+        wanted = [F.count(F.lit(1)).alias("rows")]
+        for i, (c, number) in enumerate(flat):
+            q = F.col(f"`{c}`")
+            wanted += [F.count(q).alias(f"n{i}")] + ([F.min(q).alias(f"a{i}"), F.max(q).alias(f"z{i}")] if number else [])
+        facts = [F.struct(
+            F.lit(c).alias("column"), (F.col("rows") - F.col(f"n{i}")).alias("nulls"),
+            *[(F.col(f"{end}{i}") if number else F.lit(None)).cast("double").alias(label) for end, label in (("a", "low"), ("z", "high"))],
+        ) for i, (c, number) in enumerate(flat)]
+        parts.append(df.agg(*wanted).select(F.lit(name).alias("table"), "rows", F.explode(F.array(*facts)).alias("f"))
+                     .select("table", "f.column", "rows", "f.nulls", "f.low", "f.high"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def curve_position(df: DataFrame, keys: list[str], cells: int = 256, column: str = "curve") -> DataFrame:
+    """``df`` with its place on a Z-order curve over the quantiles of ``keys`` (numbers).
+
+    Each key is cut at its own quantiles, so that skewed values fill their cells evenly; NULL and NaN share a last
+    cell. The bits of the cells are interleaved, the first key's highest. What reaches the driver are ``cells`` bounds a key.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    bits = cells.bit_length()  # one more cell for NULL
+    if cells < 2 or bits * len(keys) > 62:
+        raise ValueError(f"{len(keys)} keys of {cells} cells do not fit a 62-bit curve")
+    named = [(f"_{column}_key{i}", f"_{column}_cell{i}") for i in range(len(keys))]
+    wide = df.select("*", *[F.col(k).cast("double").alias(key) for k, (key, _) in zip(keys, named)])
+    steps = [i / cells for i in range(1, cells)]
+    bounds = wide.approxQuantile([key for key, _ in named], steps, 1 / (4 * cells))
+    splits = [[float("-inf"), *sorted({x for x in b if abs(x) != float("inf") and x == x} or {0.0}), float("inf")] for b in bounds]
+    cut = Bucketizer(splitsArray=splits, inputCols=[key for key, _ in named], outputCols=[cell for _, cell in named],
+                     handleInvalid="keep").transform(wide)
+    place = F.lit(0).cast("long")
+    for bit in range(bits):
+        for i, (_, cell) in enumerate(named):
+            one = F.shiftright(F.col(cell).cast("long"), bit).bitwiseAND(F.lit(1))
+            place = place + F.shiftleft(one, bit * len(keys) + len(keys) - 1 - i)
+    return cut.withColumn(column, place).drop(*[c for pair in named for c in pair])
+
+
+def write_curve(
+    df: DataFrame, path: str, keys: list[str], cells: int = 256, partitions: int | None = None, mode: str = "overwrite"
+) -> None:
+    """Files hold stretches of a Z-order curve over ``keys``: a range of any of the keys, or of several, reads few files.
+
+    One sorted order serves its leading key alone; this one serves all keys about alike. Ranges go on with the keys
+    and a hash of the row, so a cell that holds much of the table is spread over files.
+    """
+    placed = curve_position(df, keys, cells, "_curve")
+    hashable = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    order = ["_curve", *keys, F.xxhash64(*hashable)]
+    ranged = placed.repartitionByRange(partitions, *order) if partitions else placed.repartitionByRange(*order)
+    ranged.sortWithinPartitions("_curve", *keys).drop("_curve").write.mode(mode).parquet(path)

@@ -436,6 +436,11 @@ BODIES = {
       from old_v o full join new_v n on n.o_orderkey = o.o_orderkey""",
     "publish_star": _counts({**{t: t for t in COUNTED}, "akas": "akas_raw"}),
     "layout_partitioned": "select title_type, count(*) as rows, min(tconst) as low, max(tconst) as high from titles group by 1",
+    "layout_curve": """select 'top' as part, tconst, year, votes from (
+        select tconst, startyear as year, votes from title_doc where titletype = 'movie' and votes >= 200000
+        order by average desc, votes desc, tconst limit 10)
+      union all select 'year', tconst, startyear, votes from title_doc where startyear = 1994
+      union all select 'unknown', tconst, startyear, votes from title_doc where startyear is null and votes < 100000""",
     "stream_upsert": _collapse(
         """(select user_id, ts, event_id, case when event_type <> 'error' then event_type end as event_type,
         case when value > 0 then cast(floor(value) as bigint) end as value from events)""",
@@ -482,6 +487,22 @@ BODIES = {
         f"select '{t}' as \"table\", count(*) as rows, cast({n} as bigint) as columns from {t}" for t, n in [
             ("orders", 6), ("lineitem", 11), ("part", 6), ("customer", 5), ("supplier", 4), ("nation", 3), ("region", 2),
             ("events", 6), ("documents", 5), ("pages", 3), ("embeddings", 3), ("benchmark", 2), ("labels", 3), ("conversations", 4)]),
+    "table_columns": " union all ".join(
+        f"""select '{t}' as "table", '{c}' as "column", count(*) as rows, count(*) - count({c}) as nulls,
+        {f'cast(min({c}) as double)' if number else 'cast(null as double)'} as low,
+        {f'cast(max({c}) as double)' if number else 'cast(null as double)'} as high from {t}"""
+        for t, numbers, others in [
+            ("orders", "o_orderkey o_custkey o_totalprice", "o_orderstatus o_orderdate o_orderpriority"),
+            ("lineitem", "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax",
+             "l_returnflag l_linestatus l_shipdate"),
+            ("part", "p_partkey p_size p_retailprice", "p_name p_brand p_type"),
+            ("customer", "c_custkey c_nationkey c_acctbal", "c_name c_mktsegment"),
+            ("supplier", "s_suppkey s_nationkey s_acctbal", "s_name"), ("nation", "n_nationkey n_regionkey", "n_name"),
+            ("region", "r_regionkey", "r_name"), ("events", "event_id user_id value", "ts event_type props"),
+            ("documents", "doc_id n_chars", "text lang source"), ("pages", "page_id", "url html"),
+            ("embeddings", "vec_id label", ""), ("benchmark", "item_id", "text"), ("labels", "doc_id quality toxic", ""),
+            ("conversations", "conv_id turn", "role text")]
+        for number, names in ((True, numbers), (False, others)) for c in names.split()),
     "snapshot_diff": DIFF.format(cents=_cents("n.o_totalprice")),
     "digest_diff": DIFF.format(cents=_cents("n.o_totalprice")),
     "unchanged_versions": f"""select 'same' as version, false as changed

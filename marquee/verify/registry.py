@@ -769,6 +769,22 @@ def layout_partitioned(spark, folder):
         F.count(F.lit(1)).alias("rows"), F.min("tconst").alias("low"), F.max("tconst").alias("high"))
 
 
+@query
+def layout_curve(spark, folder):
+    """Rated titles along a curve over rating, votes and year; the top list, a year and a range of votes read from it."""
+    ensure_shared_dir(spark)
+    path = shared_path(spark, "curve")
+    rated = _title_docs(spark, folder, "rating").select(
+        "tconst", "titleType", F.col("startYear").alias("year"), F.col("rating.average").cast("double").alias("average"),
+        F.col("rating.votes").cast("bigint").alias("votes"))
+    layout.write_curve(rated, path, ["average", "votes", "year"], cells=64)
+    stored = spark.read.parquet(path)
+    top = stored.filter("titleType = 'movie' and votes >= 200000").orderBy(F.desc("average"), F.desc("votes"), "tconst").limit(10)
+    parts = {"top": top, "year": stored.filter("year = 1994"), "unknown": stored.filter("year is null and votes < 100000")}
+    return _wide(reduce(DataFrame.unionByName, [
+        rows.select(F.lit(name).alias("part"), "tconst", "year", "votes") for name, rows in parts.items()]))
+
+
 @query
 def stream_upsert(spark, folder):
     ensure_shared_dir(spark)
@@ -878,6 +894,12 @@ def table_shapes(spark, folder):
     return layout.profile(spark, paths).select("table", "rows", "columns")
 
 
+@query
+def table_columns(spark, folder):
+    """Rows, NULLs and bounds of every column of the driver tables, from file footers alone."""
+    return layout.column_profile(spark, {n: f"{folder.rstrip('/')}/{n}.parquet" for n in PROFILED})
+
+
 # --- versions --------------------------------------------------------------------------------
 
 

@@ -1,4 +1,6 @@
 import catalogue_days as days
+import duckdb
+import pyarrow.parquet as pq
 import pytest
 
 from marquee.operators import integrity, normalize
@@ -39,6 +41,73 @@ def test_layouts(spark, tmp_path):
     assert [r["bytes"] for r in profile] == sorted(on_disk.values(), reverse=True) and all(r["size"] for r in profile)
 
 
+def file_bounds(path, column):
+    """(low, high) of a column in every file, from the footers."""
+    out = []
+    for f in path.rglob("*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        at = [meta.schema.column(i).name for i in range(meta.num_columns)].index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        out.append((min(s.min for s in stats), max(s.max for s in stats)))
+    return out
+
+
+def share_read(path, column, low, high):
+    bounds = file_bounds(path, column)
+    return sum(a <= high and b >= low for a, b in bounds) / len(bounds)
+
+
+def test_curve_serves_every_key(spark, tmp_path):
+    rows = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select("l_orderkey", "l_partkey", "l_extendedprice")
+    keys = ["l_partkey", "l_extendedprice", "l_orderkey"]
+    layout.write_curve(rows, str(tmp_path / "curve"), keys, cells=64, partitions=64)
+    layout.write_sorted(rows, str(tmp_path / "sorted"), keys, partitions=64)
+    back = spark.read.parquet(str(tmp_path / "curve"))
+    assert back.columns == rows.columns and back.exceptAll(rows).count() == 0 == rows.exceptAll(back).count()
+    for key in keys:
+        low, high = rows.approxQuantile(key, [0.60, 0.62], 0.001)
+        assert share_read(tmp_path / "curve", key, low, high) <= 0.5
+        assert key == keys[0] or share_read(tmp_path / "sorted", key, low, high) > 0.9
+    # Ranges of two keys at once read about the product of their shares.
+    (a, b), (c, d) = rows.approxQuantile(keys[:2], [0.60, 0.62], 0.001)
+    both = [x <= b and y >= a and u <= d and v >= c for (x, y), (u, v) in
+            zip(file_bounds(tmp_path / "curve", keys[0]), file_bounds(tmp_path / "curve", keys[1]))]
+    assert sum(both) / len(both) <= 0.25
+
+
+def test_curve_of_odd_keys(spark, tmp_path):
+    """NULL, NaN, infinite, constant and heavy values: every row comes back, a heavy cell lies in several files."""
+    values = [None, float("nan"), float("inf"), float("-inf"), 0.0, -1.5] + [7.0] * 3000
+    rows = spark.createDataFrame([(i, v, 1) for i, v in enumerate(values)], "id long, v double, one int")
+    path = tmp_path / "odd"
+    layout.write_curve(rows, str(path), ["v", "one"], cells=16, partitions=6)
+    assert sorted(r["id"] for r in spark.read.parquet(str(path)).collect()) == list(range(len(values)))
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in path.rglob("*.parquet")]
+    assert len(sizes) > 3 and max(sizes) < 1500
+    layout.write_curve(rows.limit(0), str(tmp_path / "none"), ["v"], cells=4)
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError):
+        layout.curve_position(rows, ["v"] * 20, cells=16)
+
+
+def test_column_profile_reads_footers_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 1000, 1, 4).selectExpr(
+        "id", "if(id % 10 = 0, null, id / 4) as x", "cast(id as string) as s", "array(id) as nested", "id as `odd name`")
+    rows.write.parquet(path)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    found = layout.column_profile(spark, {"t": path})
+    assert "PushedAggregation: [" in found._jdf.queryExecution().toString()
+    got = {r["column"]: tuple(r)[2:] for r in found.collect()}
+    assert got == {"id": (1000, 0, 0.0, 999.0), "x": (1000, 100, 0.25, 249.75), "s": (1000, 0, None, None), "odd name": (1000, 0, 0.0, 999.0)}
+    scanned = layout.column_profile(spark, {"t": path}, footers=False)
+    assert {r["column"]: tuple(r)[2:] for r in scanned.collect()} == got
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    # The sizes of the files agree with what another engine reads from their footers.
+    rows_by_footer = duckdb.sql(f"select sum(num_rows) from parquet_file_metadata('{path}/*.parquet')").fetchall()[0][0]
+    assert rows_by_footer == 1000
+
+
 def test_bucketed_tables_join_without_exchange(spark, tmp_path):
     star = days.star(spark)
     for name in ("titles", "ratings"):
