@@ -439,7 +439,7 @@ BODIES = {
     "layout_curve": """select 'top' as part, tconst, year, votes from (
         select tconst, startyear as year, votes from title_doc where titletype = 'movie' and votes >= 200000
         order by average desc, votes desc, tconst limit 10)
-      union all select 'year', tconst, startyear, votes from title_doc where startyear = 1994
+      union all select 'year', tconst, startyear, votes from title_doc where startyear = 2001
       union all select 'unknown', tconst, startyear, votes from title_doc where startyear is null and votes < 100000""",
     "stream_upsert": _collapse(
         """(select user_id, ts, event_id, case when event_type <> 'error' then event_type end as event_type,

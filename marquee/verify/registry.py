@@ -780,7 +780,7 @@ def layout_curve(spark, folder):
     layout.write_curve(rated, path, ["average", "votes", "year"], cells=64)
     stored = spark.read.parquet(path)
     top = stored.filter("titleType = 'movie' and votes >= 200000").orderBy(F.desc("average"), F.desc("votes"), "tconst").limit(10)
-    parts = {"top": top, "year": stored.filter("year = 1994"), "unknown": stored.filter("year is null and votes < 100000")}
+    parts = {"top": top, "year": stored.filter("year = 2001"), "unknown": stored.filter("year is null and votes < 100000")}
     return _wide(reduce(DataFrame.unionByName, [
         rows.select(F.lit(name).alias("part"), "tconst", "year", "votes") for name, rows in parts.items()]))
 
