@@ -6,11 +6,12 @@ read as text (split across tasks) and cut with column expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import NULL_MARK, decode_escapes
 from marquee.operators.integrity import too_long
+from marquee.operators.ordered import within
 from marquee.schemas import STAGING_COLUMNS, STAGING_FILES, staging_names, staging_schema
 
 
@@ -61,6 +62,40 @@ def _lines(spark: SparkSession, path: str, header: bool, encoding: str) -> DataF
     return spark.read.schema("value string").options(**whole).csv(path)
 
 
+def continued_lines(spark: SparkSession, path: str, header: bool = True, encoding: str = "UTF-8") -> DataFrame:
+    """Lines as ``_lines`` gives them, with records put together that go on behind a backslash at the end of a line.
+
+    A line goes on if an odd number of backslashes ends it, which the line alone decides. Its next line is the one
+    behind it in its split, or the first of the file's next split; splits have one summary row each. Only the lines of
+    such records are joined and ordered, all others stay where they were read. The heading is one line.
+    The file is scanned once for each of these steps.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"), _decoded(encoding).alias("value"))
+    place = ["file", "block", "id"]
+    if header:
+        first = lines.filter("block = 0").groupBy("file").agg(F.min("id").alias("_heading"))
+        lines = lines.join(first, "file").filter("id <> _heading").drop("_heading")
+    goes_on = F.col("value").endswith("\\") & (F.length(F.regexp_extract("value", r"(\\+)\z", 1)) % 2 == 1)
+    splits = lines.groupBy("file", "block").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    in_file = Window.partitionBy("file").orderBy("block")
+    splits = splits.withColumn("next", F.lead(F.struct("block", F.col("low").alias("id"))).over(in_file))
+    before = lines.filter(goes_on).select(*place)
+    behind = before.join(splits, ["file", "block"]).select(
+        "file", F.when(F.col("id") < F.col("high"), F.struct("block", (F.col("id") + 1).alias("id"))).otherwise(F.col("next")).alias("at")
+    ).filter("at is not null").select("file", "at.block", "at.id")
+    parts = before.withColumn("_behind", F.lit(False)).unionByName(behind.withColumn("_behind", F.lit(True)))
+    parts = parts.groupBy(*place).agg(F.max("_behind").alias("_behind"))
+    start = F.when(~F.col("_behind"), F.struct("block", "id"))
+    ordered = within(lines.join(parts, place), ["file"], ["block", "id"], previous={"_start": start})
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "id", "value"))), lambda x: x["value"]), "\n")
+    records = ordered.withColumn("_start", F.when(F.col("_behind"), F.col("_start")).otherwise(F.struct("block", "id"))).groupBy(
+        "file", "_start").agg(text.alias("value"))
+    whole = lines.join(parts, place, "left_anti").select("value").unionByName(records.select("value"))
+    return whole.filter("value <> ''")
+
+
 def cut(lines: DataFrame, names: list[str], escapes: bool = False, extra_na: list[str] | None = None) -> DataFrame:
     """Lines (column ``value``) to named text columns plus ``_width``, the number of fields found."""
     fields = F.split(F.col("value"), "\t", -1)
@@ -83,14 +118,16 @@ def cut(lines: DataFrame, names: list[str], escapes: bool = False, extra_na: lis
 
 def read_tsv(
     spark: SparkSession, path: str, names: list[str], *, header: bool = True, escapes: bool = True,
-    encoding: str = "UTF-8", extra_na: list[str] | None = None,
+    encoding: str = "UTF-8", extra_na: list[str] | None = None, continued: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Read a dump into ``(good, rejected)``.
 
     ``good`` has the named text columns, ``rejected`` the raw lines of another width. Both are lazy.
-    ``extra_na`` lists further words to read as NULL, ``encoding`` the character set of the file.
+    ``extra_na`` lists further words to read as NULL, ``encoding`` the character set of the file, ``continued`` says that
+    a backslash at the end of a line carries its record on to the next line.
     """
-    parsed = cut(_lines(spark, path, header, encoding), names, escapes, extra_na)
+    lines = continued_lines(spark, path, header, encoding) if continued else _lines(spark, path, header, encoding)
+    parsed = cut(lines, names, escapes, extra_na)
     good = parsed.filter(F.col("_width") == len(names)).select(*names)
     bad = parsed.filter(F.col("_width") != len(names)).select("value", F.col("_width").alias("fields"))
     return good, bad

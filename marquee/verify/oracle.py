@@ -436,6 +436,7 @@ BODIES = {
       from old_v o full join new_v n on n.o_orderkey = o.o_orderkey""",
     "publish_star": _counts({**{t: t for t in COUNTED}, "akas": "akas_raw"}),
     "layout_partitioned": "select title_type, count(*) as rows, min(tconst) as low, max(tconst) as high from titles group by 1",
+    "staging_continued": "select tconst, primarytitle as title, length(primarytitle) as letters from titles_raw",
     "layout_curve": """select 'top' as part, tconst, year, votes from (
         select tconst, startyear as year, votes from title_doc where titletype = 'movie' and votes >= 200000
         order by average desc, votes desc, tconst limit 10)

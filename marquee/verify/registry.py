@@ -136,6 +136,18 @@ def staging_files(spark, folder):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def staging_continued(spark, folder):
+    """Titles whose spaces are written as a backslash and a line feed: records over several lines, read back whole."""
+    ensure_shared_dir(spark)
+    path = shared_path(spark, "continued")
+    broken = V.titles_raw(spark, folder).withColumn("primarytitle", F.replace("primarytitle", F.lit(" "), F.lit("\\\n")))
+    _plain_lines(broken).write.text(path)
+    read = tsv.read_staging(spark, path, "title_basics", header=False, continued=True)
+    return read.select("tconst", F.replace("primarytitle", F.lit("\n"), F.lit(" ")).alias("title"),
+                       F.length("primarytitle").cast("bigint").alias("letters"))
+
+
 @query
 def staging_append(spark, folder):
     ensure_shared_dir(spark)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +84,40 @@ def test_escaped_tabs(spark, tmp_path):
     good, bad = tsv.read_tsv(spark, path, ["x", "y"], header=False)
     assert sorted(tuple(r) for r in good.collect()) == [("a\tb", "1"), ("c\\", "2"), ("d\\\te", "3")]
     assert bad.count() == 0
+
+
+def sequential(text):
+    """Records of a text read from front to back: a line feed behind an odd number of backslashes does not end one."""
+    out, record = [], None
+    for line in text.split("\n")[1:]:
+        record = line if record is None else record + "\n" + line
+        if (len(line) - len(line.rstrip("\\"))) % 2 == 0:
+            out.append(record)
+            record = None
+    return sorted(r for r in out + ([record] if record is not None else []) if r)
+
+
+@pytest.mark.parametrize("split", [16, 60, 200, 10_000])
+def test_records_go_on_behind_a_backslash(spark, tmp_path, split):
+    rng = random.Random(split)
+    for k in range(2):
+        ends = ["", "", "\\", "\\\\", "\\\\\\"]
+        body = [f"{k}-{i}" + "x" * rng.randrange(30) + rng.choice(ends) for i in range(80)]
+        body[30:30] = ["\\", "", "\\", "\\", "", "y\\"]  # bare backslashes and blank lines
+        (tmp_path / f"{k}.tsv").write_text("heading\n" + "\n".join(body) + "\n")
+    want = sorted(r for k in range(2) for r in sequential((tmp_path / f"{k}.tsv").read_text()[:-1]))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert sorted(r["value"] for r in tsv.continued_lines(spark, str(tmp_path / "*.tsv")).collect()) == want
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_continued_fields(spark, tmp_path):
+    path = write(tmp_path, "c.tsv", ["a\tb", "1\tone\\", "two\tis\\\\", "2\tplain", "3\\", "3\t\\N", "4\tlast\\"])
+    good, bad = tsv.read_tsv(spark, path, ["a", "b"], continued=True)
+    assert {r["a"]: r["b"] for r in good.collect() if r["a"] != "4"} == {"2": "plain", "3\n3": None}
+    assert [r["value"] for r in bad.collect()] == ["1\tone\\\ntwo\tis\\\\"]
