@@ -6,12 +6,16 @@ read as text (split across tasks) and cut with column expressions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import NULL_MARK, decode_escapes
 from marquee.operators.integrity import too_long
-from marquee.operators.ordered import within
 from marquee.schemas import STAGING_COLUMNS, STAGING_FILES, staging_names, staging_schema
 
 
@@ -62,38 +66,90 @@ def _lines(spark: SparkSession, path: str, header: bool, encoding: str) -> DataF
     return spark.read.schema("value string").options(**whole).csv(path)
 
 
+PIECE = "file string, block long, part int, closed boolean, value binary"
+
+
+def _pieces(edges: bool, header: bool):
+    """Records of lines (file, block, value, ends), whose splits lie behind one another, each in file order.
+
+    A split's lines up to its first end of a record (part 0) and those it leaves open are its edges: they may go on in a
+    neighbour and keep their place. Without ``edges`` the records between them are given, whole.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, part, held, out = (None, None), 0, [], []
+
+        def put(closed: bool) -> None:
+            nonlocal part, held
+            if edges == (part == 0 or not closed):
+                out.append((*at, part, closed, b"\n".join(held)))
+            part, held = 1, []
+
+        def given() -> pa.RecordBatch:
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+            columns = [pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["file", "block", "part", "closed", "value"])
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            files, blocks, values, ends = batch.columns
+            moved = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(blocks[1:], blocks[:-1]))
+            begins = [0, *(np.flatnonzero(moved.to_numpy(zero_copy_only=False)) + 1).tolist()]
+            cuts = np.flatnonzero(ends.to_numpy(zero_copy_only=False)) + 1
+            for low, high in zip(begins, [*begins[1:], n]):
+                here = (files[low].as_py(), blocks[low].as_py())
+                if here != at:
+                    if held:
+                        put(False)
+                    at, part, held = here, 0, []
+                    low += header and here[1] == 0  # the heading is the first line of a file
+                own = cuts[(cuts > low) & (cuts <= high)].tolist()
+                if edges and part:  # what lies between the edges is not put together
+                    own = own[-1:]
+                elif edges:
+                    own = sorted({*own[:1], *own[-1:]})
+                lines, base = ([], low) if edges else (values[low:high].to_pylist(), low)
+                for end in own:
+                    if not edges:
+                        held += lines[low - base:end - base]
+                    elif part == 0:
+                        held += values[low:end].to_pylist()
+                    put(True)
+                    low = end
+                held += values[low:high].to_pylist() if edges else lines[low - base:]
+            if out:
+                yield given()
+        if held:
+            put(False)
+        if out:
+            yield given()
+
+    return run
+
+
 def continued_lines(spark: SparkSession, path: str, header: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """Lines as ``_lines`` gives them, with records put together that go on behind a backslash at the end of a line.
 
-    A line goes on if an odd number of backslashes ends it, which the line alone decides. Its next line is the one
-    behind it in its split, or the first of the file's next split; splits have one summary row each. Only the lines of
-    such records are joined and ordered, all others stay where they were read. The heading is one line.
-    The file is scanned once for each of these steps.
+    A line goes on if an odd number of backslashes ends it, which the line alone decides. Records are put together where
+    their lines are read, one after another; only the first and the last one of a split, which may go on in the next, are
+    dealt out and joined in the order of the splits. The heading is one line. The file is scanned twice.
     """
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"), _decoded(encoding).alias("value"))
-    place = ["file", "block", "id"]
-    if header:
-        first = lines.filter("block = 0").groupBy("file").agg(F.min("id").alias("_heading"))
-        lines = lines.join(first, "file").filter("id <> _heading").drop("_heading")
+        _decoded(encoding).alias("value"))
     goes_on = F.col("value").endswith("\\") & (F.length(F.regexp_extract("value", r"(\\+)\z", 1)) % 2 == 1)
-    splits = lines.groupBy("file", "block").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    in_file = Window.partitionBy("file").orderBy("block")
-    splits = splits.withColumn("next", F.lead(F.struct("block", F.col("low").alias("id"))).over(in_file))
-    before = lines.filter(goes_on).select(*place)
-    behind = before.join(splits, ["file", "block"]).select(
-        "file", F.when(F.col("id") < F.col("high"), F.struct("block", (F.col("id") + 1).alias("id"))).otherwise(F.col("next")).alias("at")
-    ).filter("at is not null").select("file", "at.block", "at.id")
-    parts = before.withColumn("_behind", F.lit(False)).unionByName(behind.withColumn("_behind", F.lit(True)))
-    parts = parts.groupBy(*place).agg(F.max("_behind").alias("_behind"))
-    start = F.when(~F.col("_behind"), F.struct("block", "id"))
-    ordered = within(lines.join(parts, place), ["file"], ["block", "id"], previous={"_start": start})
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "id", "value"))), lambda x: x["value"]), "\n")
-    records = ordered.withColumn("_start", F.when(F.col("_behind"), F.col("_start")).otherwise(F.struct("block", "id"))).groupBy(
-        "file", "_start").agg(text.alias("value"))
-    whole = lines.join(parts, place, "left_anti").select("value").unionByName(records.select("value"))
-    return whole.filter("value <> ''")
+    lines = lines.select("file", "block", F.col("value").cast("binary").alias("value"), (~goes_on).alias("ends"))
+    whole = lines.mapInArrow(_pieces(False, header), PIECE).select(F.col("value").cast("string").alias("value"))
+    before = Window.partitionBy("file").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
+    # One or two rows a split: a record begins behind each that is closed.
+    edges = lines.mapInArrow(_pieces(True, header), PIECE).withColumn(
+        "_record", F.coalesce(F.sum(F.col("closed").cast("int")).over(before), F.lit(0)))
+    place = F.struct("block", "part", F.col("value").cast("string").alias("value"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(place)), lambda x: x["value"]), "\n")
+    joined = edges.groupBy("file", "_record").agg(text.alias("value")).select("value")
+    return whole.unionByName(joined).filter("value <> ''")
 
 
 def cut(lines: DataFrame, names: list[str], escapes: bool = False, extra_na: list[str] | None = None) -> DataFrame:

@@ -121,3 +121,13 @@ def test_continued_fields(spark, tmp_path):
     good, bad = tsv.read_tsv(spark, path, ["a", "b"], continued=True)
     assert {r["a"]: r["b"] for r in good.collect() if r["a"] != "4"} == {"2": "plain", "3\n3": None}
     assert [r["value"] for r in bad.collect()] == ["1\tone\\\ntwo\tis\\\\"]
+
+
+def test_continued_lines_stay_where_they_are_read(spark, tmp_path):
+    path = tmp_path / "s.tsv"
+    path.write_bytes(b"heading\n" + b"".join(b"%d\tcaf\xe9\\\nmore\n" % i for i in range(50)))
+    found = tsv.continued_lines(spark, str(path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(file") == plan.count("Exchange ") <= 2 and "SortMergeJoin" not in plan
+    want = sorted(b"%d\tcaf\xe9\\\nmore" % i for i in range(50))
+    assert sorted(bytes(r["b"]) for r in found.select(F.col("value").cast("binary").alias("b")).collect()) == want
