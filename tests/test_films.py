@@ -114,3 +114,15 @@ def test_paged_documents_equal_whole_ones(spark, as_rows):
 def test_json_records(spark):
     df = spark.createDataFrame([("a", None, 1)], "k string, v string, n int")
     assert documents.to_json_records(df).first()["value"] == '{"k":"a","n":1}'
+
+
+def test_shuffle_partitions_stay_small(spark):
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.parallelismFirst")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        dealt = spark.range(500_000).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text")).repartition("id")
+        assert len(dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.max("text")).collect()) >= 4
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
