@@ -463,4 +463,4 @@ def test_pipeline_stage_by_stage(spark, given):
 
 
 def test_registered_names():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
