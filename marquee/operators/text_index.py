@@ -1,10 +1,10 @@
 """A stored word index: search that reads the postings of the words asked for, not the texts.
 
 The index lies in one folder. ``postings/run=<n>/bucket=<b>`` holds one row per word and row of the table, with the
-places of the word, sorted by word; ``gone/run=<n>`` the keys whose earlier postings a run replaces; ``runs/run=<n>``
-is written last and makes the run count. A build and a merge write a base run, an update from a change set a further
-run. A search prunes to the buckets of its words and filters the row groups by word; a frequent word fills
-several files, so no row, task or file holds a whole posting list.
+places of the word, sorted by word; ``changes/run=<n>`` the change set an update was made from, ``gone/run=<n>`` the
+keys whose earlier postings it replaces; ``runs/run=<n>`` is written last and makes the run count. A build and a merge
+write a base run, an update from a change set a further run. A search prunes to the buckets of its words and filters
+the row groups by word; a frequent word fills several files, so no row, task or file holds a whole posting list.
 """
 
 from __future__ import annotations
@@ -12,31 +12,70 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.functions import text as X
+from marquee.functions.columns import let
 from marquee.sources.tsv import path_exists
 
 BUCKETS = 64
 
 
-def _bucket(word: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int")
+def _bucket(value: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
 
 
 def word_postings(rows: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, token, positions): the places of each word of a text, from 0, in the words of search terms."""
+    """(key, token, positions): the places of each word of a text, from 0, in the words of search terms.
+
+    The words are sorted and put together within their text, so nothing is shuffled: a row for each word of each text.
+    """
     words = F.filter(F.split(X.normalise(F.col(column)), " "), lambda w: w != "")
-    spread = rows.select(F.col(key).alias("key"), F.posexplode(words).alias("at", "token"))
-    return spread.groupBy("key", "token").agg(F.sort_array(F.collect_list("at")).alias("positions"))  # one text's places
+    placed = F.sort_array(F.transform(words, lambda w, i: F.struct(w.alias("token"), i.alias("at"))))
+
+    def firsts(ps: Column) -> Column:
+        """Where in the sorted places each word begins."""
+        new = F.transform(ps, lambda p, i: F.when((i == 0) | (p["token"] != F.get(ps, i - 1)["token"]), i))
+        return F.filter(new, lambda i: i.isNotNull())
+
+    def grouped(ps: Column, begins: Column) -> Column:
+        def of(begin: Column, n: Column) -> Column:
+            last = F.coalesce(F.get(begins, n + 1), F.size(ps)) - 1
+            places = F.transform(F.sequence(begin, last), lambda i: F.get(ps, i)["at"])
+            return F.struct(F.get(ps, begin)["token"].alias("token"), places.alias("positions"))
+
+        return F.transform(begins, of)
+
+    found = let(placed, lambda ps: let(firsts(ps), lambda begins: grouped(ps, begins)))
+    return rows.select(F.col(key).alias("key"), F.explode(found).alias("p")).select("key", "p.token", "p.positions")
+
 
+def _dealt(postings: DataFrame, buckets: int) -> DataFrame:
+    """Postings with ``bucket`` and ``part``, dealt by both: a bucket, and a frequent word in it, lies in many tasks.
 
-def _write_run(postings: DataFrame, gone: DataFrame | None, path: str, run: int, base: bool, buckets: int) -> int:
+    Where a row goes follows from its word and key alone, so no texts are read beforehand to find ranges.
+    """
+    parts = -(-4 * int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions")) // buckets)
+    placed = postings.withColumn("bucket", _bucket(F.col("token"), buckets)).withColumn("part", _bucket(F.col("key"), parts))
+    return placed.repartition("bucket", "part")
+
+
+def _merged(dealt: DataFrame) -> DataFrame:
+    """One row for each word and key, also where several texts have one key: their places together, sorted."""
+    same = Window.partitionBy("bucket", "token", "part", "key").orderBy("positions")
+    every = F.collect_list("positions").over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    numbered = dealt.select("*", every.alias("every"), F.row_number().over(same).alias("n")).where("n = 1")
+    return numbered.withColumn("positions", F.sort_array(F.flatten("every"))).drop("every", "n")
+
+
+def _write_run(
+    postings: DataFrame, gone: DataFrame | None, path: str, run: int, base: bool, buckets: int, fresh: bool = True
+) -> int:
+    """``fresh`` postings come from texts, and texts of one key are still apart."""
     spark = postings.sparkSession
-    placed = postings.withColumn("bucket", _bucket(F.col("token"), buckets))
-    # Ranges of words, and within one word of keys: the files of a bucket are as many as its rows need.
-    placed.repartitionByRange("bucket", "token", "key").sortWithinPartitions("bucket", "token", "key").write.mode(
+    dealt = _dealt(postings, buckets)
+    (_merged(dealt) if fresh else dealt).sortWithinPartitions("bucket", "token", "part", "key").drop("part").write.mode(
         "overwrite").partitionBy("bucket").parquet(f"{path}/postings/run={run}")
     if gone is not None:
         gone.select("key").distinct().write.mode("overwrite").parquet(f"{path}/gone/run={run}")
@@ -65,9 +104,14 @@ def update_index(changes: DataFrame, key: str, column: str, path: str) -> int:
 
     The run is numbered after the last that counts, so a failed update is written again under the same number.
     """
-    runs, buckets = live_runs(changes.sparkSession, path)
-    fresh = word_postings(changes.where("op <> 'delete'"), key, column)
-    return _write_run(fresh, changes.select(F.col(key).alias("key")), path, max(runs) + 1, False, buckets)
+    spark = changes.sparkSession
+    runs, buckets = live_runs(spark, path)
+    run = max(runs) + 1
+    # The change set is read twice, for the postings and for the keys; it is found once.
+    changes = changes.select("op", F.col(key).alias("key"), F.col(column).alias("text"))
+    changes.write.mode("overwrite").parquet(f"{path}/changes/run={run}")
+    kept = spark.read.schema(changes.schema).parquet(f"{path}/changes/run={run}")
+    return _write_run(word_postings(kept.where("op <> 'delete'"), "key", "text"), kept, path, run, False, buckets)
 
 
 def _live(spark: SparkSession, path: str, runs: list[int], postings: DataFrame) -> DataFrame:
@@ -85,7 +129,7 @@ def merge_runs(spark: SparkSession, path: str) -> int:
     runs, buckets = live_runs(spark, path)
     stored = spark.read.parquet(f"{path}/postings").where(F.col("run").isin(runs))
     merged = _live(spark, path, runs, stored).select("key", "token", "positions")
-    return _write_run(merged, None, path, max(runs) + 1, True, buckets)
+    return _write_run(merged, None, path, max(runs) + 1, True, buckets, fresh=False)
 
 
 def postings(spark: SparkSession, path: str, words: list[str]) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from marquee.operators import snapshots, text_index
 from marquee.session import ensure_shared_dir, shared_path
 
@@ -74,3 +76,34 @@ def test_a_run_without_its_record_does_not_count(spark):
     placed = text_index.word_postings(stray, "id", "title")
     placed.selectExpr("*", "0 as bucket").write.partitionBy("bucket").parquet(f"{path}/postings/run=1")
     assert found(spark, path, "blue") == []
+
+
+def test_words_are_put_together_in_their_text_and_shuffled_once(spark):
+    rows = titles(60, 8)
+    df = spark.createDataFrame(rows, "id long, title string")
+    found = text_index.word_postings(df, "id", "title")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    want = {(i, w): [n for n, x in enumerate(words(t)) if x == w] for i, t in rows for w in words(t)}
+    got = found.collect()
+    assert len(got) == len(want) and {(r["key"], r["token"]): r["positions"] for r in got} == want
+
+
+def test_texts_of_one_key_share_a_posting(spark):
+    path, _ = built(spark, [(1, "a rose is"), (1, "rose a"), (None, "day"), (None, "red day"), (2, "rose")])
+    got = text_index.postings(spark, path, ["rose", "day"]).collect()
+    assert sorted((str(r["key"]), r["token"], r["positions"]) for r in got) == [
+        ("1", "rose", [0, 1]), ("2", "rose", [0]), ("None", "day", [0, 1])]
+
+
+def test_an_update_finds_its_change_set_once(spark):
+    path, _ = built(spark, titles(20, 9))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(op):
+        seen.add(1)
+        return op
+
+    changes = spark.createDataFrame([("insert", 100 + i, "a blue day") for i in range(30)], "op string, id long, title string")
+    text_index.update_index(changes.withColumn("op", F.udf(count)("op")), "id", "title", path)
+    assert seen.value == 30
+    assert len(found(spark, path, "blue day")) == 30
