@@ -2,7 +2,7 @@
 
 Rows are dealt to slices by ranges of the whole order (group first), so a slice holds a bounded
 share of the table even where one group, or one value of the first order column, fills most of it.
-Windows run within a slice, and one summary row per slice and group carries the state across slices.
+Windows run within a slice, and one summary row per slice and group that a bound cuts carries the state across slices.
 The slice of a row follows from its own values and a short list of bounds, so a row computed again, for
 a second use or after a lost executor, falls into the same slice and nothing has to be kept.
 """
@@ -56,12 +56,28 @@ def range_number(key: Column, bounds: Column, ranges: int) -> Column:
     return let(bounds, lambda list_: below(F.lit(0), list_, top))
 
 
-def _sliced(df: DataFrame, group: list[str], order: list[str], slices: int | None) -> DataFrame:
+def _cut(df: DataFrame, columns: list[str], bounds: DataFrame, slices: int) -> DataFrame:
     """``df`` with ``_slice``, the number of the range its row falls into."""
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = range_bounds(df, [*group, *order], slices)
     held = df.withColumn("_bounds", bounds.scalar())
-    return held.withColumn("_slice", range_number(order_key([*group, *order]), F.col("_bounds"), slices)).drop("_bounds")
+    return held.withColumn("_slice", range_number(order_key(columns), F.col("_bounds"), slices)).drop("_bounds")
+
+
+def _slices(df: DataFrame, slices: int | None) -> int:
+    return slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _sliced(df: DataFrame, group: list[str], order: list[str], slices: int | None) -> DataFrame:
+    columns, slices = [*group, *order], _slices(df, slices)
+    return _cut(df, columns, range_bounds(df, columns, slices), slices)
+
+
+def _shared(df: DataFrame, group: list[str], bounds: DataFrame) -> DataFrame:
+    """The rows of groups that lie in more than one slice: those that a bound names, at most one group a bound."""
+    if not group:
+        return df
+    bound = df.sparkSession.range(1).withColumn("_bounds", bounds.scalar()).select(F.explode("_bounds").alias("b"))
+    named = bound.select(*[F.col(f"b.k{i}").alias(f"_g_{k}") for i, k in enumerate(group)]).distinct()
+    return df.join(F.broadcast(named), [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in group], "left_semi")
 
 
 def within(
@@ -86,7 +102,10 @@ def within(
     base = df
     for name, value in {**previous, **following}.items():
         base = base.withColumn(f"_v_{name}", value)
-    base = _sliced(base, group, order, slices)
+    columns, slices = [*group, *order], _slices(df, slices)
+    bounds = range_bounds(base, columns, slices)
+    shared = _cut(_shared(base, group, bounds), columns, bounds, slices)
+    base = _cut(base, columns, bounds, slices)
     keys = ["_slice", *group]
 
     up = Window.partitionBy(*keys).orderBy(*[F.asc(c) for c in order]).rowsBetween(Window.unboundedPreceding, -1)
@@ -105,17 +124,17 @@ def within(
         for name in names:
             v = F.col(f"_v_{name}")
             sums.append(pick(v, F.when(v.isNotNull(), rank)).alias(f"_c_{name}"))
-    # One row per slice and group: a group that spans many slices has as many, the others one or two.
-    carry = base.groupBy(*keys).agg(*sums)
+    # One row per slice and group, of the groups in several slices alone: at most two rows a slice, sent to the others.
+    carry = shared.groupBy(*keys).agg(*sums)
     before = Window.partitionBy(*group).orderBy(F.asc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     behind = Window.partitionBy(*group).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     cols = [F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")]
     cols += [F.last(f"_c_{n}", ignorenulls=True).over(before).alias(f"_b_{n}") for n in previous]
     cols += [F.last(f"_c_{n}", ignorenulls=True).over(behind).alias(f"_b_{n}") for n in following]
     carry = carry.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *cols)
-    out = out.join(carry, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys], "left")
+    out = out.join(F.broadcast(carry), [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys], "left")
     for name in [*previous, *following]:
         out = out.withColumn(name, F.coalesce(F.col(name), F.col(f"_b_{name}")))
     if number:
-        out = out.withColumn(number, (F.col(number) + F.col("_offset")).cast("bigint"))
+        out = out.withColumn(number, (F.col(number) + F.coalesce("_offset", F.lit(0))).cast("bigint"))
     return out.select(*df.columns, *previous, *following, *([number] if number else []))

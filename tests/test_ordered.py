@@ -80,3 +80,19 @@ def test_pages_follow_the_ordering(spark):
         df, "k", F.col("o"), F.struct("o"), "vs", 10, heads).collect()}
     assert got["hot", 0] == [1, 2, 3, 4, 5, 6, 7, 7, 8, 9, 10] and got["hot", 9] == list(range(91, 101))
     assert got["cold", 0] == [None, -2, 3] and got["bare", 0] == [] and len(got) == 12
+
+
+def test_only_groups_cut_by_a_bound_carry_over_and_rows_move_once(spark):
+    rows = spark.range(400).selectExpr("case when id < 250 then null else id div 3 end as g", "id % 97 as a", "id as b")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = within(rows, ["g"], ["a", "b"], number="n", slices=16)
+        assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        got = {r["b"]: r["n"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    groups = {}
+    for i in range(400):
+        groups.setdefault(None if i < 250 else i // 3, []).append((i % 97, i))
+    assert got == {b: n for members in groups.values() for n, (_, b) in enumerate(sorted(members), 1)}
