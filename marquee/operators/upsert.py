@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -33,11 +33,9 @@ def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
     The check is a filter, so it also holds where only the keys or a count are asked for.
     """
-    rest = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*rest)).alias("_r"))
+    counted = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     named = F.concat(F.lit(f"duplicate key on {', '.join(keys)}: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
-    single = grouped.filter(F.assert_true(F.col("_n") == 1, named).isNull())
-    return single.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
+    return counted.filter(F.assert_true(F.col("_n") == 1, named).isNull()).drop("_n")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

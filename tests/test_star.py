@@ -3,6 +3,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from marquee.operators import clean, integrity, normalize
+from marquee.operators.upsert import one_per_key
 from marquee.plans import directors
 
 
@@ -123,3 +124,13 @@ def test_key_helpers(spark, as_rows):
     assert as_rows(clean.key_range(df, "k", "a", "c")) == [("b",), ("c",)]
     assert as_rows(clean.key_page(df, "k", "a", 2)) == [("b",), ("c",)]
     assert clean.range_partition(df, "k", 3).count() == 4
+
+
+def test_keys_are_checked_without_sorting_whole_rows_twice(spark, as_rows):
+    rows = spark.createDataFrame([("a", "x", 1), ("b", None, 2)], "k string, t string, n int")
+    checked = one_per_key(rows, ["k"])
+    plan = checked._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("Sort [") == 1
+    assert as_rows(checked) == as_rows(rows)
+    with pytest.raises(PySparkException, match="duplicate key on k: a"):
+        one_per_key(rows.unionByName(rows.limit(1)), ["k"]).select("k").count()
