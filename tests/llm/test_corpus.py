@@ -427,6 +427,27 @@ def test_a_passage_that_others_quote_in_part(spark):
     assert got == expected
 
 
+def test_a_stretch_too_short_that_texts_repeat_ends_in_few_rounds(spark, monkeypatch):
+    rng = random.Random(14)
+    short = prose(rng, 34, 10**6)
+    rows = [(i, " ".join(f"{short} {prose(rng, 60, 10**6)}" for _ in range(24))) for i in range(2)]
+    rounds, verified = [], passages._verified
+    monkeypatch.setattr(passages, "_verified", lambda *given: rounds.append(1) or verified(*given))
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in passages.passage_classes(documents(spark, rows)).collect()}
+    assert got == {0: (0, 0), 1: (1, 0)}
+    assert len(rounds) <= 8
+
+
+def test_passages_are_the_same_in_blocks_of_any_size(spark, monkeypatch):
+    rng = random.Random(15)
+    longer = prose(rng, 300, 10**6).split()
+    rows = [(i, " ".join([prose(rng, 30, 10**6), *longer[at:at + 90], prose(rng, 30, 10**6)]))
+            for i, at in enumerate((0, 0, 20, 40, 150, 160, 170, 210, 210, 5))]
+    whole = sorted(passages.passage_links(documents(spark, rows)).collect())
+    monkeypatch.setattr(passages, "BLOCK_TEXTS", 3)
+    assert sorted(passages.passage_links(documents(spark, rows)).collect()) == whole != []
+
+
 @pytest.mark.parametrize("table", ["odd", "none"])
 def test_passages_edge_cases(table, request):
     docs = request.getfixturevalue(table)
