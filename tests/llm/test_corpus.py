@@ -448,6 +448,18 @@ def test_passages_are_the_same_in_blocks_of_any_size(spark, monkeypatch):
     assert sorted(passages.passage_links(documents(spark, rows)).collect()) == whole != []
 
 
+def test_every_two_texts_with_a_passage_in_common_are_linked(spark, monkeypatch):
+    rng = random.Random(16)
+    shared, other = prose(rng, 120, 10**6).split(), prose(rng, 80, 10**6).split()
+    rows = [(i, " ".join([prose(rng, 30, 10**6), *shared[:20 + 9 * i], "changed", *shared[21 + 9 * i:], prose(rng, 30, 10**6)])) for i in range(9)]
+    rows += [(9, " ".join([*shared, *other])), (10, " ".join([prose(rng, 20, 10**6), *other]))]
+    expected = {i: [j for j in range(10) if j != i] for i in range(9)} | {9: [*range(9), 10], 10: [9]}
+    for texts in (256, 2):  # one block; parts of few texts that share their smallest key
+        monkeypatch.setattr(passages, "BLOCK_TEXTS", texts)
+        got = {r["doc_id"]: (r["linked_ids"], r["n_links"]) for r in passages.passage_classes(documents(spark, rows)).collect()}
+        assert got == {i: (x, len(x)) for i, x in expected.items()}
+
+
 @pytest.mark.parametrize("table", ["odd", "none"])
 def test_passages_edge_cases(table, request):
     docs = request.getfixturevalue(table)
